@@ -6,9 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import simhash
+from lectern.llm import language, lines, mixing, packing, quality, shards, simhash, tokens, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": mixing.op1,
+    "op2_token_counts": tokens.op2,
+    "op3_sharding": shards.op3,
+    "op4_quality_rules": quality.op4,
+    "op5_best_fit_packing": packing.op5,
+    "op6_warc": warc.op6,
+    "op7_line_dedup": lines.op7,
+    "op8_language_id": language.op8,
+    "op9_exact_top_k": topk.op9,
     "op10_simhash_near_dedup": simhash.op10,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_warc": warc.ORACLE,
+    "op9_exact_top_k": topk.ORACLE,
+}
