@@ -1,10 +1,390 @@
-"""Registered queries of the library's own operators."""
+"""Registered queries of the library's own operators over the given tables, and the SQL that each is held against."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from lectern.functions.ids import canonical_number, number_prefix
+from lectern.functions.refs import reference_tokens
+from lectern.functions.text import public_text_col, search_fold_col, slug_col
+from lectern.operators import checks, collapse, lexicon, policy
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLE_SQL[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def joined(column: str) -> F.Column:
+    """An array as a string, so that engines agree on it."""
+    return F.array_join(F.transform(F.col(column), lambda x: x.cast("string")), ",").alias(column)
+
+
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").where("text is not null")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "text"))
+    return lines.select("doc_id", (F.col("at") + 1).cast("long").alias("verse"), "text")
+
+
+LINES = """lines AS (
+  SELECT doc_id, unnest(range(1, len(s) + 1)) AS verse, unnest(s) AS text
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents WHERE text IS NOT NULL)
+)"""
+COLLAPSED = f"""WITH {LINES}, collapsed AS (
+  SELECT doc_id, text, min(verse) AS verse, list_sort(list(DISTINCT verse)) AS covered, count(*) AS copies FROM lines GROUP BY doc_id, text
+)"""
+
+
+@query(f"{COLLAPSED} SELECT doc_id, text, verse, array_to_string(covered, ',') AS covered, copies FROM collapsed")
+def collapse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collapse.collapse(numbered_lines(spark, sf_dir), ["doc_id"], order="verse")
+    return found.select("doc_id", "text", "verse", joined("covered"), "copies")
+
+
+@query("""SELECT source, lang, text, min(doc_id) AS verse, array_to_string(list_sort(list(DISTINCT doc_id)), ',') AS covered, count(*) AS copies
+FROM documents GROUP BY source, lang, text""")
+def collapse_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("source", "lang", "text", F.col("doc_id").alias("verse"))
+    return collapse.collapse(rows, ["source", "lang"], order="verse").select("source", "lang", "text", "verse", joined("covered"), "copies")
+
+
+@query("""SELECT conv_id, text, min(turn) AS verse, arg_min(role, turn) AS role, count(*) AS copies FROM conversations GROUP BY conv_id, text""")
+def collapse_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").withColumnRenamed("turn", "verse")
+    return collapse.collapse(rows, ["conv_id"], order="verse", anchor="role").select("conv_id", "text", "verse", "role", "copies")
+
+
+@query("""SELECT conv_id, string_agg(turn || ':' || text, chr(30) ORDER BY turn, text) AS entries, count(*) AS entry_count
+FROM (SELECT conv_id, text, min(turn) AS turn FROM conversations GROUP BY conv_id, text) GROUP BY conv_id""")
+def chapter_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").withColumnRenamed("turn", "verse")
+    found = collapse.chapters(collapse.collapse(rows, ["conv_id"], order="verse"), ["conv_id"])
+    text = F.array_join(F.transform("entries", lambda x: F.concat(x["verse"].cast("string"), F.lit(":"), x["text"])), "\x1e")
+    return found.select("conv_id", text.alias("entries"), "entry_count")
+
+
+@query(f"""{COLLAPSED}, per AS (SELECT doc_id, count(*) AS n FROM collapsed GROUP BY doc_id)
+SELECT source, array_to_string(list_sort(list(DISTINCT doc_id)), ',') AS chapters, CAST(sum(n) AS BIGINT) AS entry_count, bool_or(doc_id = 0) AS has_introduction
+FROM per JOIN documents USING (doc_id) GROUP BY source""")
+def book_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents are chapters, and their source is the book."""
+    lines = collapse.collapse(numbered_lines(spark, sf_dir), ["doc_id"], order="verse")
+    per = lines.groupBy("doc_id").agg(F.count("*").alias("entry_count"))
+    per = per.join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    found = collapse.book_index(per, ["source"], "doc_id")
+    return found.select("source", joined("chapters"), F.col("entry_count").cast("long").alias("entry_count"), "has_introduction")
+
+
+@query(f"""{COLLAPSED}
+SELECT (SELECT count(*) FROM lines) AS source_entries, (SELECT CAST(sum(octet_length(encode(text))) AS BIGINT) FROM lines) AS source_bytes,
+       count(*) AS published_entries, CAST(sum(octet_length(encode(text))) AS BIGINT) AS published_bytes FROM collapsed""")
+def storage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = numbered_lines(spark, sf_dir)
+    return collapse.storage(lines, collapse.collapse(lines, ["doc_id"], order="verse"))
+
+
+@query(f"{COLLAPSED} SELECT doc_id, text, verse FROM collapsed WHERE list_contains(covered, 3)")
+def verse_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collapse.collapse(numbered_lines(spark, sf_dir), ["doc_id"], order="verse")
+    return collapse.covering(found, F.lit(3).cast("long")).select("doc_id", "text", "verse")
+
+
+@query(f"{COLLAPSED} SELECT doc_id, verse, unnest(covered) AS at, copies FROM collapsed")
+def verse_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collapse.collapse(numbered_lines(spark, sf_dir), ["doc_id"], order="verse")
+    return collapse.coverage(found).select("doc_id", "verse", "at", "copies")
+
+
+TOKEN_SQL = "'[1-4]?[A-Za-z][A-Za-z0-9]+\\.\\p{Nd}+(?:\\.\\p{Nd}+)?'"
+TEXTS = """texts AS (
+  SELECT 'd' || doc_id AS id, text FROM documents
+  UNION ALL SELECT 'n' || n_nationkey, r_name || '.' || n_nationkey || '.' || n_regionkey FROM nation JOIN region ON n_regionkey = r_regionkey
+)"""
+
+
+def cited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    named = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    cited = named.select(F.concat(F.lit("n"), "n_nationkey").alias("id"), F.concat_ws(".", "r_name", "n_nationkey", "n_regionkey").alias("text"))
+    return table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text").union(cited)
+
+
+@query(f"""WITH {TEXTS}, tokens AS (SELECT id, list_sort(list_distinct(regexp_extract_all(text, {TOKEN_SQL}))) AS tokens FROM texts)
+SELECT id, array_to_string(tokens, ',') AS tokens FROM tokens WHERE len(tokens) > 0""")
+def reference_token_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cited_texts(spark, sf_dir).select("id", reference_tokens("text").alias("tokens"))
+    return found.where(F.size("tokens") > 0).select("id", joined("tokens"))
+
+
+@query(f"""WITH {TEXTS}, tokens AS (SELECT id, unnest(list_distinct(regexp_extract_all(text, {TOKEN_SQL}))) AS token FROM texts)
+SELECT id, token, r_regionkey AS book, TRY_CAST(split_part(token, '.', 2) AS INTEGER) AS chapter, TRY_CAST(NULLIF(split_part(token, '.', 3), '') AS INTEGER) AS verse
+FROM tokens JOIN region ON lower(split_part(token, '.', 1)) = lower(r_name) WHERE TRY_CAST(split_part(token, '.', 2) AS INTEGER) IS NOT NULL""")
+def reference_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region stands in for the dimension of books."""
+    from lectern.functions.refs import resolve_by_join
+
+    tokens = cited_texts(spark, sf_dir).select("id", F.explode(reference_tokens("text")).alias("token"))
+    books = table(spark, sf_dir, "region").select(F.lower("r_name").alias("alias"), F.col("r_regionkey").alias("book"))
+    return resolve_by_join(tokens, books).select("id", "token", "book", "chapter", "verse")
+
+
+@query()
+def markup_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", public_text_col(F.lit(None).cast("string"), "html").alias("text"))
+
+
+TITLE = r"<title>\s*([^<\s]+)"
+
+
+def page_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as a dictionary: a page's key is the first word of its title; the host is its module."""
+    pages = table(spark, sf_dir, "pages")
+    key = F.regexp_extract("html", TITLE, 1)
+    rows = pages.select(F.lit("pages").alias("module"), F.col("page_id").alias("ordinal"), key.alias("key"), "html").where("key <> ''")
+    return lexicon.base_ids(rows)
+
+
+def named_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.assign_ids(page_entries(spark, sf_dir), ascii_only=True)  # bases are ASCII: keys that aren't are encoded
+
+
+BASES = r"""entries AS (
+  SELECT page_id AS ordinal, regexp_extract(html, '<title>\s*([^<\s]+)', 1) AS key, html FROM pages
+), based AS (
+  SELECT ordinal, key, html, CASE
+    WHEN regexp_matches(key, '^[A-Za-z0-9][A-Za-z0-9._-]{0,119}$') THEN 'k-' || key
+    WHEN length(rtrim(base64(encode(key)), '=')) <= 180 THEN 'k-' || translate(rtrim(base64(encode(key)), '='), '+/', '-_')
+    ELSE 'h-' || sha256(key) END AS base
+  FROM entries WHERE key <> ''
+), owned AS (
+  SELECT *, CASE WHEN first_value(key) OVER (PARTITION BY lower(base) ORDER BY ordinal) = key THEN base ELSE 'h-' || sha256(key) END AS final FROM based
+), counted AS (
+  SELECT *, row_number() OVER (PARTITION BY lower(final) ORDER BY ordinal) AS occurrence FROM owned
+), named AS (
+  SELECT ordinal, key, html, final || CASE WHEN occurrence > 1 THEN '--' || occurrence ELSE '' END AS id, occurrence,
+    coalesce(nullif(trim(regexp_replace(regexp_replace(replace(lower(strip_accents(key)), 'ß', 'ss'), '[^\w\s-]', ' ', 'g'), '\s+', ' ', 'g')), ''), replace(lower(key), 'ß', 'ss')) AS search,
+    replace(lower(key), 'ß', 'ss') AS folded
+  FROM counted
+)"""
+
+
+@query(f"WITH {BASES} SELECT ordinal, key, id, occurrence FROM named")
+def entry_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return named_pages(spark, sf_dir).select("ordinal", "key", "id", "occurrence")
+
+
+def searched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.searchable(named_pages(spark, sf_dir))
+
+
+@query(f"WITH {BASES} SELECT ordinal, key, search FROM named")
+def search_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return searched_pages(spark, sf_dir).select("ordinal", "key", "search")
+
+
+@query(f"""WITH {BASES} SELECT row_number() OVER (ORDER BY search, folded, occurrence, ordinal) AS rank, id, key, search,
+CASE WHEN occurrence > 1 THEN occurrence END AS occurrence FROM named""")
+def search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.search_index(searched_pages(spark, sf_dir)).select("rank", "id", "key", "search", "occurrence")
+
+
+@query(f"WITH {BASES} SELECT id, key, search FROM named WHERE starts_with(search, 'th')")
+def prefix_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.with_prefix(lexicon.search_index(searched_pages(spark, sf_dir)), "th").select("id", "key", "search")
+
+
+@query(f"WITH {BASES} SELECT count(DISTINCT folded) AS unique_keys FROM named")
+def unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.unique_keys(page_entries(spark, sf_dir)).select("unique_keys")
+
+
+ALIASES = """aliases AS (
+  SELECT alias, arg_min(id, ordinal * 2 + rank) AS target FROM (
+    SELECT ordinal, id, folded AS alias, 0 AS rank FROM named UNION ALL SELECT ordinal, id, search, 1 FROM named) WHERE alias <> '' GROUP BY alias
+)"""
+EDGES = rf"""WITH {BASES}, {ALIASES}, found AS (
+  SELECT id, unnest(regexp_extract_all(html, '(?is)<(?:reference|ref|a)\b[^>]*?\b(?:target|href|osisref)\s*=\s*["'']([^"'']+)["'']', 1)) AS raw FROM named
+), cut AS (
+  SELECT DISTINCT id, regexp_replace(trim(regexp_replace(regexp_replace(raw, '^.*/', ''), '^[^:]*:', '')), '^#+|#+$', '', 'g') AS target FROM found
+), wanted AS (
+  SELECT id, replace(lower(target), 'ß', 'ss') AS direct,
+    coalesce(nullif(trim(regexp_replace(regexp_replace(replace(lower(strip_accents(target)), 'ß', 'ss'), '[^\w\s-]', ' ', 'g'), '\s+', ' ', 'g')), ''), replace(lower(target), 'ß', 'ss')) AS loose
+  FROM cut WHERE target <> '' AND NOT regexp_matches(target, '^[1-4]?[A-Za-z][A-Za-z0-9]+\.[0-9]+(?:\.[0-9]+)?$')
+), edges AS (
+  SELECT DISTINCT wanted.id AS src, coalesce(a.target, b.target) AS dst
+  FROM wanted LEFT JOIN aliases a ON direct = a.alias LEFT JOIN aliases b ON loose = b.alias WHERE coalesce(a.target, b.target) <> wanted.id
+)"""
+
+
+def page_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = searched_pages(spark, sf_dir)
+    return lexicon.link_edges(named, lexicon.candidates_of(named, "html"))
+
+
+@query(f"WITH {BASES}, {ALIASES} SELECT alias, target FROM aliases")
+def alias_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.alias_index(searched_pages(spark, sf_dir)).select("alias", "target")
+
+
+@query(f"{EDGES} SELECT src, dst FROM edges")
+def link_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_edges(spark, sf_dir).select("src", "dst")
+
+
+@query(f"{EDGES} SELECT src AS id, array_to_string(list_sort(list(dst)), ',') AS ids FROM edges GROUP BY src")
+def forward_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.neighbours(page_edges(spark, sf_dir)).select("id", joined("ids"))
+
+
+@query(f"{EDGES} SELECT dst AS id, array_to_string(list_sort(list(src)), ',') AS ids FROM edges GROUP BY dst")
+def backlinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.neighbours(page_edges(spark, sf_dir), forward=False).select("id", joined("ids"))
+
+
+@query(f"""{EDGES} SELECT e.src, a.key AS src_key, e.dst, b.key AS dst_key FROM edges e JOIN named a ON e.src = a.id JOIN named b ON e.dst = b.id""")
+def link_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = named_pages(spark, sf_dir)
+    src, dst = named.select(F.col("id").alias("src"), F.col("key").alias("src_key")), named.select(F.col("id").alias("dst"), F.col("key").alias("dst_key"))
+    return page_edges(spark, sf_dir).join(src, "src").join(dst, "dst").select("src", "src_key", "dst", "dst_key")
+
+
+@query(r"""WITH keys AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN lpad(CAST(p_partkey AS VARCHAR), 5, '0') WHEN 1 THEN 'g' || lpad(CAST(p_partkey AS VARCHAR), 5, '0')
+  WHEN 2 THEN 'strong:H' || p_partkey WHEN 3 THEN p_partkey || '!a' ELSE p_name END AS key, CASE WHEN p_partkey % 2 = 0 THEN 'G' END AS prefix FROM part),
+cut AS (SELECT *, upper(regexp_extract(key, '(?i)^(?:strong:)?([GH])?0*(\d{1,5})(?:!.*)?$', 1)) AS letter, regexp_extract(key, '(?i)^(?:strong:)?([GH])?0*(\d{1,5})(?:!.*)?$', 2) AS digits FROM keys)
+SELECT p_partkey, key, CASE WHEN digits = '' THEN NULL ELSE CASE coalesce(nullif(letter, ''), prefix) WHEN 'G' THEN 'G' || CAST(CAST(digits AS INTEGER) AS VARCHAR)
+  WHEN 'H' THEN 'H0' || CAST(CAST(digits AS INTEGER) AS VARCHAR) END END AS canonical FROM cut""")
+def strong_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part, n = table(spark, sf_dir, "part"), F.col("p_partkey")
+    padded = F.lpad(n.cast("string"), 5, "0")
+    key = F.when(n % 5 == 0, padded).when(n % 5 == 1, F.concat(F.lit("g"), padded)).when(n % 5 == 2, F.concat(F.lit("strong:H"), n)).when(n % 5 == 3, F.concat(n, F.lit("!a"))).otherwise(F.col("p_name"))
+    prefix = number_prefix(F.when(n % 2 == 0, F.lit("GreekDef")))
+    return part.select("p_partkey", key.alias("key"), prefix.alias("prefix")).select("p_partkey", "key", canonical_number(F.col("key"), F.col("prefix")).alias("canonical"))
+
+
+DRIVERS = {"ECONOMY": "RawCom", "PROMO": "zLD", "MEDIUM": "RawFiles", "LARGE": "RawText", "STANDARD": "RawLD4", "SMALL": "zCom4"}
+
+
+def part_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    driver = F.create_map(*[F.lit(x) for pair in DRIVERS.items() for x in pair])[F.col("p_type")]
+    category = F.when(F.col("p_size") % 2 == 0, "Commentaries").otherwise("Lexicons / Dictionaries")
+    rows = part.select("p_partkey", F.col("p_name").alias("name"), F.trim("p_brand").alias("license"), F.lower(F.trim("p_brand")).alias("license_key"), driver.alias("driver"), category.alias("category"))
+    return rows.withColumn("kind", policy.module_kind(F.col("driver"), F.col("category"), F.lit("")))
+
+
+@query("""WITH m AS (SELECT p_partkey, p_name AS name, lower(p_brand) AS license,
+  CASE p_type WHEN 'ECONOMY' THEN 'rawcom' WHEN 'PROMO' THEN 'zld' WHEN 'MEDIUM' THEN 'rawfiles' WHEN 'LARGE' THEN 'rawtext' WHEN 'STANDARD' THEN 'rawld4' ELSE 'zcom4' END AS driver, p_size % 2 = 0 AS comment FROM part),
+k AS (SELECT *, CASE WHEN driver IN ('rawcom', 'zcom4') OR driver = 'rawfiles' AND comment THEN 'commentaries' WHEN driver IN ('zld', 'rawld4', 'rawfiles') THEN 'dictionaries' END AS kind FROM m)
+SELECT p_partkey, kind, name <> 'red widget' AND (name = 'small ring' OR license IN ('brand#3', 'brand#13')) AS allowed,
+  CASE WHEN name = 'red widget' THEN 'denied: asked to' WHEN name = 'small ring' THEN 'approved: by letter' WHEN license IN ('brand#3', 'brand#13') THEN 'licence: ' || license ELSE 'licence not approved' END AS reason
+FROM k""")
+def classify_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    denied = spark.createDataFrame([("red widget", "asked to")], "name string, why string")
+    approved = spark.createDataFrame([("small ring", "by letter"), ("red widget", "by mistake")], "name string, why string")
+    licenses = spark.createDataFrame([("brand#3",), ("brand#13",)], "license string")
+    return policy.decide(part_modules(spark, sf_dir), denied, approved, licenses).select("p_partkey", "kind", "allowed", "reason")
+
+
+def slugged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select(F.lit("part").alias("kind"), F.concat_ws("/", "p_name", F.lower("p_type")).alias("name"))
+    loud = table(spark, sf_dir, "part").select(F.lit("part").alias("kind"), F.concat_ws(" ", F.upper("p_name"), "p_type").alias("name"))
+    nation = table(spark, sf_dir, "nation").select(F.lit("nation").alias("kind"), F.col("n_name").alias("name"))
+    region = table(spark, sf_dir, "region").select(F.lit("region").alias("kind"), F.col("r_name").alias("name"))
+    return part.union(loud).union(nation).union(region).distinct().withColumn("slug", slug_col("name"))
+
+
+SLUGS = """WITH names AS (
+  SELECT 'part' AS kind, p_name || '/' || lower(p_type) AS name FROM part UNION SELECT 'part', upper(p_name) || ' ' || p_type FROM part
+  UNION SELECT 'nation', n_name FROM nation UNION SELECT 'region', r_name FROM region
+), slugs AS (SELECT kind, name, trim(regexp_replace(lower(name), '[^a-z0-9._-]+', '-', 'g'), '-.') AS slug FROM names)"""
+
+
+@query(f"{SLUGS} SELECT kind, slug, count(DISTINCT name) AS names FROM slugs GROUP BY kind, slug HAVING count(DISTINCT name) > 1")
+def slug_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return policy.slug_collisions(slugged(spark, sf_dir))
+
+
+@query(f"{SLUGS} SELECT kind, count(*) AS module_count, array_to_string(list_sort(list(slug)), ',') AS ids FROM slugs GROUP BY kind")
+def catalog_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return policy.catalog_rollup(slugged(spark, sf_dir)).select("kind", "module_count", joined("ids"))
+
+
+@query("""SELECT name FROM (SELECT n_name AS name FROM nation UNION SELECT replace(r_name, ' ', '_') FROM region) WHERE name NOT IN (SELECT 'NATION_' || c_nationkey FROM customer WHERE c_nationkey < 20)""")
+def missing_requested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")).union(table(spark, sf_dir, "region").select(F.translate("r_name", " ", "_")))
+    found = table(spark, sf_dir, "customer").where("c_nationkey < 20").select(F.concat(F.lit("NATION_"), "c_nationkey").alias("name"))
+    return policy.missing_names(asked, found)
+
+
+@query("""WITH listed AS (SELECT 'd/' || doc_id AS path, sha256(text) AS sha FROM documents WHERE doc_id % 10 <> 3),
+tree AS (SELECT 'd/' || doc_id AS path, sha256(CASE WHEN doc_id % 10 = 5 THEN text || ' ' ELSE text END) AS sha FROM documents WHERE doc_id % 10 <> 7)
+SELECT path, CASE WHEN tree.sha IS NULL THEN 'missing' WHEN listed.sha IS NULL THEN 'extra' ELSE 'mismatch' END AS fault
+FROM listed FULL JOIN tree USING (path) WHERE listed.sha IS DISTINCT FROM tree.sha""")
+def manifest_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, n = table(spark, sf_dir, "documents"), F.col("doc_id")
+    path = F.concat(F.lit("d/"), n)
+    listed = docs.where(n % 10 != 3).select(path.alias("path"), F.sha2("text", 256).alias("sha256"))
+    tree = docs.where(n % 10 != 7).select(path.alias("path"), F.sha2(F.when(n % 10 == 5, F.concat("text", F.lit(" "))).otherwise(F.col("text")), 256).alias("sha256"))
+    return checks.manifest_faults(listed, tree)
+
+
+@query("""SELECT conv_id, count(*) AS rows, count(DISTINCT turn) <> count(*) OR min(turn) <> 0 OR max(turn) <> count(*) - 1 AS broken FROM conversations GROUP BY conv_id
+UNION ALL SELECT -1, count(*), count(DISTINCT event_id) <> count(*) OR min(event_id) <> 0 OR max(event_id) <> count(*) - 1 FROM events
+UNION ALL SELECT -2 - user_id, count(*), count(DISTINCT event_id) <> count(*) OR min(event_id) <> 0 OR max(event_id) <> count(*) - 1 FROM events GROUP BY user_id""")
+def ordinal_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = checks.ordinal_gaps(table(spark, sf_dir, "conversations"), ["conv_id"], "turn").select("conv_id", "rows", "broken")
+    events = table(spark, sf_dir, "events")
+    whole = checks.ordinal_gaps(events.withColumn("conv_id", F.lit(-1).cast("long")), ["conv_id"], "event_id").select("conv_id", "rows", "broken")
+    users = checks.ordinal_gaps(events.withColumn("conv_id", -2 - F.col("user_id")), ["conv_id"], "event_id").select("conv_id", "rows", "broken")
+    return turns.union(whole).union(users)
+
+
+@query("""SELECT doc_id, CASE doc_id % 6 WHEN 1 THEN 'size' WHEN 2 THEN 'sha256' WHEN 3 THEN 'base64' WHEN 4 THEN 'utf8' WHEN 5 THEN 'encoding' END AS fault FROM documents""")
+def byte_value_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as byte values, five in six of them spoiled in one member."""
+    docs, n, text = table(spark, sf_dir, "documents"), F.col("doc_id") % 6, F.col("text")
+    value = F.struct(
+        F.when(n == 3, F.lit("not base64!")).otherwise(F.regexp_replace(F.base64(F.encode(text, "UTF-8")), "[\r\n]", "")).alias("base64"),
+        F.when(n == 5, "hex").otherwise("base64").alias("encoding"), F.when(n == 2, F.sha2(F.lit("x"), 256)).otherwise(F.sha2(text, 256)).alias("sha256"),
+        (F.octet_length(F.encode(text, "UTF-8")) + F.when(n == 1, 1).otherwise(0)).cast("long").alias("size"), F.when(n == 4, F.concat(text, F.lit("."))).otherwise(text).alias("utf8"),
+    )
+    return docs.select("doc_id", checks.byte_value_fault(value).alias("fault"))
+
+
+@query("""SELECT event_type AS kind, count(*) AS seen, count(*) FILTER (event_type <> 'error') AS expected FROM events GROUP BY event_type HAVING count(*) <> count(*) FILTER (event_type <> 'error')
+UNION ALL SELECT 'footer', 0, count(*) FROM events""")
+def count_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The footer lacks the errors and lists a kind that there is none of."""
+    events = table(spark, sf_dir, "events")
+    footer = events.where("event_type <> 'error'").groupBy(F.col("event_type").alias("kind")).agg(F.count("*").alias("expected"))
+    return checks.count_mismatches(events, "event_type", footer.union(events.agg(F.lit("footer"), F.count("*"))))
+
+
+@query("""SELECT conv_id AS artifact_id, CASE WHEN conv_id % 4 = 1 THEN 'size' WHEN conv_id % 4 = 2 THEN 'sha256' ELSE 'size expected' END AS fault
+FROM (SELECT DISTINCT conv_id FROM conversations) WHERE conv_id % 4 > 0""")
+def artifact_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as artifacts whose turns are chunks; three in four have a false size or digest."""
+    turns = table(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "artifact_id")
+    chunks = turns.select("artifact_id", F.col("turn").alias("index"), F.encode("text", "UTF-8").alias("data"))
+    whole = turns.groupBy("artifact_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t"))
+    whole = whole.select("artifact_id", F.encode(F.array_join("t.text", ""), "UTF-8").alias("data"))
+    n, size = F.col("artifact_id") % 4, F.octet_length("data").cast("long")
+    begins = whole.select("artifact_id", F.lit("regular").alias("file_type"), F.when(n == 3, size + 1).otherwise(size).alias("size_expected"))
+    ends = whole.select("artifact_id", F.when(n == 1, size + 1).otherwise(size).alias("size"), F.when(n == 2, F.sha2(F.lit("x"), 256)).otherwise(F.sha2("data", 256)).alias("sha256"))
+    return checks.artifact_faults(begins, chunks, ends)
