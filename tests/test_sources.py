@@ -1,0 +1,119 @@
+import base64
+import hashlib
+import io
+import json
+import tarfile
+
+import pytest
+
+from lectern.operators.commentary import commentary_rows
+from lectern.sources import conf, ndjson
+from lectern.streaming import ingest
+
+CONF = "# note\n[Old]\n[Name]\nDescription=A \\\n# inside\n  long one\nFeature=X\nFeature = Y\nLang=EN\nModDrv=zLD\n indented=no\nDistributionLicense= Public  Domain\n"
+
+
+def test_conf():
+    name, fields = conf.parse_conf(CONF)
+    assert name == "Name" and fields["description"] == ["A long one"] and fields["feature"] == ["X", "Y"] and "indented" not in fields
+    with pytest.raises(ValueError):
+        conf.parse_conf("a=b")
+
+
+@pytest.mark.parametrize("path", ["/a", "../a", "a/../../b", "", "C:/x", "a\\..\\..\\b"])
+def test_unsafe_paths(path):
+    with pytest.raises(ValueError):
+        conf.safe_path(path)
+
+
+def archive(path, members):
+    with tarfile.open(path, "w:gz") as out:
+        for name, text in members:
+            info = tarfile.TarInfo(name)
+            info.size = len(text)
+            out.addfile(info, io.BytesIO(text.encode()))
+
+
+def test_archive(spark, tmp_path):
+    archive(tmp_path / "a.tar.gz", [("mods.d/n.conf", CONF), ("readme", "x")])
+    row = conf.described(conf.read_archives(spark, str(tmp_path / "a.tar.gz"))).first()
+    assert (row.name, row.kind, row.language, row.license_key, row.description, row.conf_path) == ("Name", "dictionaries", "en", "public domain", "A long one", "mods.d/n.conf")
+    archive(tmp_path / "b.tar.gz", [("../n.conf", CONF)])
+    with pytest.raises(Exception, match="unsafe path"):
+        conf.read_archives(spark, str(tmp_path / "b.tar.gz")).collect()
+
+
+def bv(text):
+    raw = text.encode()
+    return {"base64": base64.b64encode(raw).decode(), "encoding": "base64", "sha256": hashlib.sha256(raw).hexdigest(), "size": len(raw), "utf8": text}
+
+
+def stream(records, footer=None, change=None):
+    lines, kinds = [], {}
+    for k, record in enumerate(records):
+        lines.append(json.dumps(dict(sorted((record | {"sequence": k}).items()))) + "\n")
+        kinds[record["type"]] = kinds.get(record["type"], 0) + 1
+    says = {
+        "type": "footer", "sequence": len(lines), "success": True, "stream_sha256": hashlib.sha256("".join(lines).encode()).hexdigest(), "entries": kinds.get("entry", 0),
+        "artifacts": kinds.get("artifact_begin", 0), "artifact_bytes": sum(r["size"] for r in records if r["type"] == "artifact_end"), "counts": kinds,
+        "diagnostics": {x: sum(1 for r in records if r.get("severity") == x) for x in ndjson.SEVERITIES},
+    } | (footer or {})
+    lines.append(json.dumps(dict(sorted(says.items()))) + "\n")
+    return "".join(lines) if change is None else change("".join(lines))
+
+
+HEAD = [{"type": "header", "command": "extract"}, {"type": "module", "name": bv("M")}, {"type": "config_entry", "ordinal": 0, "name": "Feature", "value": bv("A")}, {"type": "config_entry", "ordinal": 1, "name": "feature", "value": bv("B")}]
+ENTRIES = [
+    {"type": "entry", "ordinal": 0, "key": bv("John 1:1"), "raw": bv("see Gen.1.1"), "stripped": bv("text"), "scope": {"type": "verse_key", "testament": 2, "book": 4, "chapter": 1, "verse": 1, "osis_reference": bv("John.1.1")}},
+    {"type": "entry", "ordinal": 1, "key": bv("x"), "raw": bv("é")},
+]
+FILES = [
+    {"type": "artifact_begin", "artifact_id": 0, "file_type": "regular", "size_expected": 3}, {"type": "artifact_begin", "artifact_id": 1, "file_type": "regular", "size_expected": 1},
+    {"type": "artifact_chunk", "artifact_id": 0, "index": 0, "data": bv("ab")}, {"type": "artifact_chunk", "artifact_id": 1, "index": 0, "data": bv("z")}, {"type": "artifact_chunk", "artifact_id": 0, "index": 1, "data": bv("c")},
+    {"type": "artifact_end", "artifact_id": 1, "size": 1, "sha256": hashlib.sha256(b"z").hexdigest()}, {"type": "artifact_end", "artifact_id": 0, "size": 3, "sha256": hashlib.sha256(b"abc").hexdigest()},
+]
+
+
+def take(text):
+    found = ndjson.Stream()
+    for line in text.encode().splitlines(keepends=True):
+        found.take(line)
+    found.close()
+
+
+def test_stream(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.ndjson").write_text(stream([*HEAD, *ENTRIES, *FILES]))
+    rows = ndjson.read_streams(spark, str(tmp_path))
+    assert rows.count() == 2 * (len(HEAD) + len(ENTRIES) + len(FILES) + 1)
+    found = {x.ordinal: x for x in ndjson.entries(rows).where("module like '%a.ndjson'").collect()}
+    assert (found[0].plain, found[0].verse.osis, found[1].raw, found[1].verse) == ("text", "John.1.1", "é", None)
+    assert {tuple(x.fields["feature"]) for x in ndjson.config(rows).collect()} == {("A", "B")}
+    assert [tuple(x.references[0]) for x in commentary_rows(ndjson.entries(rows)).collect()] == [("Gen.1.1", 1, 1, 1)] * 2
+
+
+BROKEN = {
+    "footer's stream_sha256": stream(HEAD, {"stream_sha256": "0"}), "footer's entries": stream([*HEAD, *ENTRIES], {"entries": 7}), "it failed": stream(HEAD, {"success": 1}),
+    "first record": stream(HEAD[1:]), "without a header": stream(HEAD, change=lambda x: x[: x.rstrip().rindex("\n") + 1]), "after the footer": stream(HEAD, change=lambda x: x + x.splitlines(keepends=True)[-1]),
+    "entry ordinal 1": stream([*HEAD, ENTRIES[1]]), "config_entry out of place": stream([*HEAD[:2], ENTRIES[0], HEAD[2]]), "out of turn": stream(HEAD, change=lambda x: x.replace('"sequence": 1,', '"sequence": 5,')),
+    "another digest": stream([*HEAD[:1], {"type": "module", "name": bv("M") | {"sha256": "0" * 64}}]), "another size": stream([*HEAD[:1], {"type": "module", "name": bv("M") | {"size": True}}]),
+    "chunk of no open": stream([*HEAD, FILES[0], FILES[4]]), "without an end": stream([*HEAD, FILES[0]]), "isn't whole": stream([*HEAD, FILES[0], FILES[2], FILES[6]]),
+    "1 errors: bad": stream([*HEAD, {"type": "diagnostic", "code": "x", "severity": "error", "message": bv("bad")}]), "unknown record": stream([*HEAD, {"type": "x"}]),
+    "members in order": stream(HEAD, change=lambda x: '{"type": "header", "command": "extract", "sequence": 0}\n' + x.split("\n", 1)[1]), "JSON in UTF-8": "x\n", "without an end ": "{}",
+}
+
+
+@pytest.mark.parametrize("why", BROKEN)
+def test_broken_streams(why):
+    with pytest.raises(ndjson.StreamError, match=why.strip()):
+        take(BROKEN[why])
+
+
+def test_ingest(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    row = {"module": "c", "ordinal": 0, "key": "k", "raw": "", "html": "", "plain": "t", "verse": {"osis": "John.1.1", "testament": 2, "book": 4, "chapter": 1, "verse": 1}}
+    (tmp_path / "in/a.json").write_text(json.dumps(row) + "\n" + json.dumps(row | {"ordinal": 1, "verse": row["verse"] | {"verse": 2, "osis": "John.1.2"}}) + "\n")
+    for _ in range(2):
+        ingest.collapse_into(ingest.entry_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(60)
+    found = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert len(found) == 1 and found[0].positions == [1, 2]
