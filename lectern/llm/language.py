@@ -123,7 +123,7 @@ def learn(docs: DataFrame, most: int = FITTED, held: int = HELD) -> Filters:
                 by.setdefault(lang, []).append(np.unique(grams(text)))
             for lang, found in by.items():
                 gram, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram)), pa.array(gram.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(n, pa.int64())], ["lang", "gram", "n"])
 
     small_batches(docs.sparkSession)
     seen = chosen.mapInArrow(spread, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where("n > 1")
