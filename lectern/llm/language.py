@@ -16,6 +16,8 @@ from lectern.llm.common import bytes_of, map_arrow, read, small_batches
 GRAM = 5
 #: Documents of a language that its filter learns from, and n-grams that it holds, at most.
 FITTED, HELD = 4_000, 20_000
+#: Least share of a language's documents that hold an n-gram, of its highest share in any language.
+OWN = 0.3
 #: Slots and hash functions of the filter.
 SLOTS, HASHES = 1 << 20, 3
 #: Languages that one word of bits holds.
@@ -104,7 +106,8 @@ def build(languages: list[str], held: dict[str, np.ndarray]) -> Filters:
 
 def learn(docs: DataFrame, most: int = FITTED, held: int = HELD) -> Filters:
     """Filters learned from rows with a text and a lang: at most ``most`` documents of a language, those whose seeded
-    hashes of doc_id are smallest. A language holds the ``held`` n-grams found in most of its documents, twice at least.
+    hashes of doc_id are smallest. A language holds the ``held`` n-grams found in most of its documents, twice at least,
+    of those that it has a fair share of (OWN).
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")).where("lang is not null and text is not null and doc_id is not null")
     order = F.struct(F.xxhash64(F.lit(29), "doc_id").alias("h"), "doc_id")
@@ -127,6 +130,10 @@ def learn(docs: DataFrame, most: int = FITTED, held: int = HELD) -> Filters:
 
     small_batches(docs.sparkSession)
     seen = chosen.mapInArrow(spread, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where("n > 1")
+    # A gram is a language's own if its share of documents there is near its highest anywhere: quotes in other
+    # languages' documents don't count.
+    share = F.col("n") / F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, float(min(most, n)))])[F.col("lang")]
+    seen = seen.withColumn("share", share).withColumn("highest", F.max("share").over(Window.partitionBy("gram"))).where(F.col("share") >= OWN * F.col("highest"))
     top = seen.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("rank") <= held)
     table = top.groupBy("lang").agg(F.sort_array(F.collect_list("gram")).alias("grams")).collect()  # ``held`` numbers a language
     found = {x.lang: np.array(x.grams, np.int64).view(np.uint64) for x in table}
