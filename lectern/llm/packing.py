@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from lectern.llm.bytelevel import spelled
 from lectern.llm.common import map_arrow, read, written
 
 ROOM, END = 4096, 1
@@ -24,7 +25,7 @@ CELL, ISLANDS = 768, 2
 #: Rounds between which the best of each island moves on; packings of an island and generations of a round.
 ROUNDS, POPULATION, GENERATIONS = 2, 4, 6
 #: Chunks of text whose ids a worker keeps before it starts anew.
-CACHED = 1 << 18
+CACHED = 1 << 20
 #: No pre-token and no special token of the tokenizer crosses one of these.
 GAP = regex.compile(r"[ \n]+")
 
@@ -38,15 +39,31 @@ class Ids(dict):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        # A run of letters and one mark after it are pre-tokens of their own, and letters are encoded in lower case
+        # (beyond Latin, lower case may depend on what is around a letter, so only Latin ones are lowered here).
+        if chunk[-1:] in (",", ".") and chunk[:-1].isalpha():
+            ids = self[chunk[:-1]] + self[chunk[-1]]
+        elif chunk.isalpha() and max(chunk) < "\u0250":
+            low = chunk.lower()
+            ids = self[low] if low != chunk else self.modelled(chunk)
+        else:
+            ids = self.encoded(chunk)
         if len(self) > CACHED:
             self.clear()
         if len(chunk) < 200:
             self[chunk] = ids
         return ids
 
+    def encoded(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def modelled(self, word: str) -> bytes:
+        """One pre-token straight from the model, which is what the tokenizer does with it after cutting the text."""
+        return np.array([x.id for x in self.model.tokenize(spelled(word))], "<u4").tobytes()
+
     def of(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
