@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import BLANKS, bytes_of, map_arrow, read, unit, written
+from lectern.llm.common import BLANKS, bytes_of, map_arrow, read, written
 
 #: Weights of the sources by code point, repeating; share of all words that the mix takes; most of a source, in its sizes.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
@@ -62,9 +62,13 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: floa
 
 
 def keyed(rows: DataFrame, seed: int) -> DataFrame:
-    """Adds the Efraimidis-Spirakis key: exponential, its rate the document's quality; the smallest keys are taken."""
-    key = -F.log(unit(seed, F.col("doc_id").cast("long"), F.col("mix_size"), F.col("mix_mark"))) / F.col("mix_quality")
-    return rows.withColumn("mix_key", key)
+    """Adds the Efraimidis-Spirakis key: exponential, its rate the document's quality; the smallest keys are taken.
+
+    The uniform number behind it comes from an MD5 digest, so that other engines can make the same one.
+    """
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("mix_mark")))
+    unit = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
+    return rows.withColumn("mix_key", -F.log(unit) / F.col("mix_quality"))
 
 
 def bucket() -> Column:
@@ -103,7 +107,7 @@ def mix(docs: DataFrame, seed: int = 42, weights: tuple[int, ...] = WEIGHTS, sha
     Keys fall in buckets of some hundred documents; only sums of buckets and the rows of one bucket a source are
     ordered, so no task sees a whole source. The plan has one row a source.
     """
-    rows = measured(docs.withColumn("mix_mark", F.xxhash64(F.col("text").cast("string"))))
+    rows = measured(docs.withColumn("mix_mark", F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))))
     narrow = written(rows.select("doc_id", "mix_mark", "mix_size", "mix_quality", source_key()), "sizes")
     made = plan(narrow, seed, weights, share, most)
     takes = (F.col("bucket") < F.col("edge")) | ((F.col("bucket") == F.col("edge")) & (F.col("mix_key") <= F.col("last_key")))
@@ -115,3 +119,35 @@ def mix(docs: DataFrame, seed: int = 42, weights: tuple[int, ...] = WEIGHTS, sha
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return found.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_repeats")).alias("taken"))
+
+
+ORACLE = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce('=' || source, '') AS source FROM documents
+), sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS size, md5(text) AS mark,
+    octet_length(encode(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))) AS tight, octet_length(encode(regexp_replace(text, '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g'))) AS letters
+  FROM texts
+), sources AS (
+  SELECT source, CAST(sum(size) AS DOUBLE) AS source_size, CAST([5, 2, 1][(row_number() OVER (ORDER BY source = '', source) - 1) % 3 + 1] AS DOUBLE) AS weight FROM sizes GROUP BY source
+), levels AS (
+  SELECT *, 2 * source_size AS cap,
+    (1.5 * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(weight) OVER (ORDER BY 2 * source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources
+), targets AS (
+  SELECT source, source_size, CASE WHEN cap <= level * weight THEN cap ELSE weight * max(CASE WHEN cap > level * weight THEN level END) OVER () END AS target FROM levels
+), plans AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM targets
+), keyed AS (
+  SELECT doc_id, size, plans.*, target - epochs * source_size AS budget,
+    -ln((CAST(CAST('0x' || substr(md5('42|' || CAST(doc_id AS VARCHAR) || '|' || mark), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0)
+      / CASE WHEN size > 0 THEN 1 + 3.0::DOUBLE * letters / tight ELSE 1 END AS key
+  FROM sizes JOIN plans USING (source)
+), reached AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS reach FROM keyed
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+  CAST(size * (epochs + CASE WHEN budget > 0 AND reach - size / 2 <= budget THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM reached
+"""

@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_near_dedup": simhash.op10,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": mixing.ORACLE,
     "op6_warc": warc.ORACLE,
     "op9_exact_top_k": topk.ORACLE,
 }

@@ -78,6 +78,13 @@ def test_mixing(spark, tables, docs):
         assert abs(taken[name] - value) <= largest / 2 + 1
 
 
+def test_mixing_equals_sql(spark, tables, duck):
+    found = {x.doc_id: x for x in mixing.op1(spark, tables).collect()}
+    names = ("doc_id", "size", "source_size", "target", "taken")
+    for row in duck.execute(queries.ORACLE_SQL["op1_mixing"]).fetchall():
+        assert tuple(found[row[0]][x] for x in names) == pytest.approx(row)
+
+
 def test_mixing_odd(odd, none):
     found = mixing.mix(odd).collect()
     assert len(found) == len(ROWS) and none.count() == 0 and mixing.mix(none).count() == 0
