@@ -230,7 +230,7 @@ def pack(found: DataFrame, seed: int = 42, room: int = ROOM) -> DataFrame:
     islands. What the emptiest sequences of all cells hold is dealt anew and packed once more, so that cells
     share their remainders. A cell has a bounded number of pieces, whatever the input.
     """
-    rows = found.withColumn("uid", F.monotonically_increasing_id())
+    rows = written(found.withColumn("uid", F.monotonically_increasing_id()), "pieces")  # ids are fixed by being written
     small = rows.where(F.col("length") < room).select("uid", "length")
 
     def deal(items: DataFrame, again: int) -> DataFrame:
@@ -265,7 +265,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, seed: int = 42, wit
     empty table gives an empty result.
     """
     path = path or public_tokenizers.path("word_bpe_49k.json")
-    return pack(written(pieces(docs, path, with_ids=with_ids), "pieces"), seed)
+    return pack(pieces(docs, path, with_ids=with_ids), seed)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
