@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.refs import BOOKS, reference_tokens, resolve_tokens
 from lectern.functions.text import public_text_col
+from lectern.operators.policy import last_value
 from lectern.operators.publish import render, write_composed
 
 
@@ -106,6 +107,31 @@ def rendered(documents: DataFrame) -> DataFrame:
     return render(documents, F.col("path"), F.col("document"))
 
 
+def _about(kind: str, *counts: Column) -> Column:
+    """What every module's metadata says; ``fields`` is the module's configuration, ``counts`` what was published."""
+    get = lambda name, default="": last_value(F.col("fields"), name, default)
+    contact = F.struct(get("copyrightcontactname").alias("name"), get("copyrightcontactemail").alias("email"), get("copyrightcontactaddress").alias("address"))
+    return named(
+        f"{kind}-metadata-v1", F.col("id"), F.col("module"), F.col("description").alias("name"), F.col("language"), F.col("version"), F.col("license"), F.col("driver"),
+        get("sourcetype").alias("source_type"), *([get("versification", "KJV").alias("versification")] if kind == "commentary" else []), *counts, get("textsource").alias("text_source"),
+        get("copyright").alias("copyright"), get("copyrightholder").alias("copyright_holder"), contact.alias("copyright_contact"), get("distributionnotes").alias("distribution_notes"), get("about").alias("about"),
+    )
+
+
+def metadata_documents(modules: DataFrame, counts: DataFrame, kind: str) -> DataFrame:
+    """(path, document): what each module is and how much of it was published. ``modules``: as described, with module and
+    id; ``counts``: module and the columns to show, in order."""
+    shown = [F.col(x) for x in counts.columns if x != "module"]
+    return modules.join(counts, "module").select(F.concat_ws("/", "id", F.lit("metadata.json")).alias("path"), _about(kind, *shown).alias("document"))
+
+
+def build_stamp(records: DataFrame, kind: str, version: str, at: Column | None = None) -> DataFrame:
+    """(path, document): when a resource was built, by what, and how many modules it has."""
+    when = F.date_format(F.to_utc_timestamp(at if at is not None else F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    document = F.struct(F.lit(version).alias("builder_version"), F.lit(1).alias("api_version"), F.lit(kind).alias("resource"), F.first("at").alias("generated_at"), F.count("id").alias("module_count"))
+    return records.withColumn("at", when).agg(document.alias("document")).select(F.lit("build.json").alias("path"), "document")
+
+
 def catalog(records: DataFrame, kind: str) -> DataFrame:
     """(path, document): the catalog of a resource, its modules by id. ``records``: id and whatever a record shows."""
     fields = [F.col(x) for x in records.columns if x != "id"]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.functions.text import license_text
+
 # Drivers of either kind, and names that no module may take.
 COMMENTARY_DRIVERS = ("rawcom", "rawcom4", "zcom", "zcom4", "rawfiles")
 DICTIONARY_DRIVERS = ("rawld", "rawld4", "zld", "rawfiles")
@@ -73,3 +75,19 @@ def reserved_names(modules: DataFrame) -> DataFrame:
 def catalog_rollup(modules: DataFrame) -> DataFrame:
     """A row a kind: how many modules, and their ids in order."""
     return modules.groupBy("kind").agg(F.count("*").alias("module_count"), F.array_sort(F.collect_list("slug")).alias("ids"))
+
+
+def load_policy(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(denied, approved, licenses) for ``decide``, from a JSON file that lists licences and names modules with reasons.
+    Licences are compared squeezed and folded."""
+    kept = "approved_license_values array<string>, approved_modules map<string,string>, denied_modules map<string,string>"
+    policy = spark.read.schema(kept).json(path, multiLine=True)
+    names = lambda column: policy.select(F.explode(column).alias("name", "why"))
+    values = policy.select(F.explode("approved_license_values").alias("license"))
+    return names("denied_modules"), names("approved_modules"), values.select(license_text("license").alias("license"))
+
+
+def misclassified(modules: DataFrame, streams: DataFrame) -> DataFrame:
+    """Modules whose stream says another classification than their kind. ``streams``: name, classification."""
+    expected = F.when(F.col("kind") == "commentaries", "commentary").when(F.col("kind") == "dictionaries", "dictionary")
+    return modules.join(streams, "name").where(~expected.eqNullSafe(F.col("classification"))).select("name", "kind", "classification")

@@ -63,3 +63,14 @@ def test_dictionary(spark, tmp_path):
     found = json.loads(documents.rendered(documents.catalog(records, "dictionaries")).first().json)
     assert found["dictionaries"] == [{"id": "dic", "name": "A dictionary", "strong_prefix": None}]
     assert made.where(F.col("entry") == "k-Empty").count() == 0
+
+
+def test_metadata(spark):
+    fields = {"about": ["old", "new"], "versification": ["KJVA"]}
+    modules = spark.createDataFrame([("Com", "com", "en", "A", "1", "PD", "zCom", fields)], MODULES + ", version string, license string, driver string, fields map<string,array<string>>")
+    counts = spark.createDataFrame([("Com", 2, 5)], "module string, book_count int, entry_count long")
+    found = documents.rendered(documents.metadata_documents(modules, counts, "commentary")).first()
+    shown = json.loads(found.json)
+    assert found.path == "com/metadata.json" and (shown["book_count"], shown["entry_count"], shown["about"], shown["versification"], shown["copyright_contact"]["email"]) == (2, 5, "new", "KJVA", "")
+    stamp = json.loads(documents.rendered(documents.build_stamp(modules, "commentaries", "1.0", F.lit("2026-01-02 03:04:05").cast("timestamp"))).first().json)
+    assert stamp["generated_at"] == "2026-01-02T03:04:05Z" and stamp["module_count"] == 1

@@ -108,6 +108,16 @@ def test_policy(spark):
     assert {x.name: (x.allowed, x.reason) for x in found.collect()} == {"a": (True, "licence: pd"), "b": (False, "denied: x"), "c": (True, "approved: z"), "d": (False, "licence not approved")}
 
 
+def test_policy_file(spark, tmp_path):
+    (tmp_path / "p.json").write_text('{"approved_license_values": ["Public  Domain"], "approved_modules": {}, "denied_modules": {"b": "x"}}')
+    denied, approved, licenses = policy.load_policy(spark, str(tmp_path / "p.json"))
+    modules = spark.createDataFrame([("a", "public domain"), ("b", "public domain")], "name string, license_key string")
+    assert {x.name: x.allowed for x in policy.decide(modules, denied, approved, licenses).collect()} == {"a": True, "b": False}
+    kinds = spark.createDataFrame([("a", "commentaries"), ("b", "dictionaries")], "name string, kind string")
+    said = spark.createDataFrame([("a", "commentary"), ("b", "commentary")], "name string, classification string")
+    assert [x.name for x in policy.misclassified(kinds, said).collect()] == ["b"]
+
+
 def test_selection(spark):
     modules = spark.createDataFrame([("A", "commentaries"), ("B", "dictionaries"), ("C", None)], "name string, kind string")
     assert [x.name for x in policy.select_modules(modules, requested=["b"]).collect()] == ["B"]

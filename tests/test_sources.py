@@ -7,6 +7,7 @@ import tarfile
 import pytest
 
 from lectern.operators.commentary import commentary_rows
+from lectern.sources import archive as packages
 from lectern.sources import conf, ndjson
 from lectern.streaming import ingest
 
@@ -117,3 +118,29 @@ def test_ingest(spark, tmp_path):
         ingest.collapse_into(ingest.entry_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(60)
     found = spark.read.parquet(str(tmp_path / "out")).collect()
     assert len(found) == 1 and found[0].positions == [1, 2]
+
+
+def test_packages(spark, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as out:
+        out.writestr("mods.d/a.conf", CONF)
+        out.writestr("modules/x", b"\x00\x01")
+    found = {x.path: bytes(x.content) for x in packages.read_packages(spark, str(tmp_path)).collect()}
+    assert found == {"mods.d/a.conf": CONF.encode(), "modules/x": b"\x00\x01"}
+    with zipfile.ZipFile(tmp_path / "b.zip", "w") as out:
+        out.writestr("../x", "")
+    with pytest.raises(Exception, match="unsafe path"):
+        packages.read_packages(spark, str(tmp_path)).collect()
+    now, seen = (spark.createDataFrame(x, "name string, stamp string") for x in ([("a", "1"), ("b", "2")], [("a", "1"), ("b", "1")]))
+    assert [x.name for x in packages.changed_packages(now, seen).collect()] == ["b"]
+
+
+def test_extractors(spark, tmp_path):
+    (tmp_path / "s").write_text(stream([*HEAD, *ENTRIES]))
+    run = lambda *argv: packages.run_extractors(spark.createDataFrame([("m", list(argv))], "name string, argv array<string>"))
+    assert [x.raw for x in ndjson.entries(run("cat", str(tmp_path / "s"))).orderBy("ordinal").collect()] == ["see Gen.1.1", "é"]
+    with pytest.raises(Exception, match="command ended with"):
+        run("sh", "-c", f"cat {tmp_path}/s; exit 3").collect()
+    with pytest.raises(Exception, match="not a line of JSON"):
+        run("echo", "x").collect()
