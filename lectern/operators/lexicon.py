@@ -98,11 +98,25 @@ def neighbours(edges: DataFrame, forward: bool = True) -> DataFrame:
     return edges.groupBy("module", F.col(me).alias("id")).agg(F.array_sort(F.collect_set(other)).alias("ids"))
 
 
+#: Leading characters of a search form by which an index is numbered in parts.
+LEAD = 4
+
+
 def search_index(named: DataFrame, ascii_only: bool = False) -> DataFrame:
-    """Slim records in index order: (search, folded key, occurrence, ordinal); rank counts from 1 in each module."""
-    order = Window.partitionBy("module").orderBy("search", fold_col("key", ascii_only=ascii_only), "occurrence", "ordinal")
+    """Slim records in index order: (search, folded key, occurrence, ordinal); rank counts from 1 in each module.
+
+    Records are numbered among those that begin alike, and the counts of the beginnings before theirs are added: a
+    module's records needn't meet in one task. Code points and UTF-8 bytes sort alike, so beginnings sort as the whole.
+    """
+    rows = named.withColumn("lead", F.substring("search", 1, LEAD))
+    counts = rows.groupBy("module", "lead").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("module").orderBy("lead").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("module", "lead", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    order = Window.partitionBy("module", "lead").orderBy("search", fold_col("key", ascii_only=ascii_only), "occurrence", "ordinal")
+    placed = rows.withColumn("place", F.row_number().over(order)).join(starts, ["module", "lead"])
     slim = F.when(F.col("aliases") != F.array("key"), F.col("aliases"))
-    return named.select("module", F.row_number().over(order).cast("long").alias("rank"), "id", "key", "search", slim.alias("aliases"), F.when(F.col("occurrence") > 1, F.col("occurrence")).alias("occurrence"))
+    rank = (F.col("start") + F.col("place")).cast("long").alias("rank")
+    return placed.select("module", rank, "id", "key", "search", slim.alias("aliases"), F.when(F.col("occurrence") > 1, F.col("occurrence")).alias("occurrence"))
 
 
 def unique_keys(named: DataFrame, ascii_only: bool = False) -> DataFrame:
