@@ -28,6 +28,7 @@ BOOKS = (
     (79, "Prayer of Manasses", ("PrMan",)), (80, "I Maccabees", ("1Macc",)), (81, "II Maccabees", ("2Macc",)), (82, "III Maccabees", ("3Macc",)), (83, "IV Maccabees", ("4Macc",)),
 )
 
+# Fixed value: the format of a reference.
 #: Book, chapter and perhaps verse, joined by dots. Digits may be any script's, letters are ASCII.
 TOKEN = r"[1-4]?[A-Za-z][A-Za-z0-9]+\.\p{Nd}+(?:\.\p{Nd}+)?"
 REFERENCE = "struct<osis:string,book:int,chapter:int,verse:int>"
