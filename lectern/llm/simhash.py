@@ -148,11 +148,10 @@ def simhash_components(docs: DataFrame, radius: int = 4, width: int = 4) -> Data
     """
     prints = written(fingerprints(docs, width), "fingerprints")
     first = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "first")
-    label = connected_components(links(first.select("fp"), radius)).select(F.col("node").alias("fp"), "component")
-    named = first.join(label, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    linked = named.where("component <> fp").select("component").distinct()
-    least = named.join(linked, "component", "left_semi").groupBy("component").agg(F.min("first").alias("least"))
-    final = written(named.join(least, "component", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "final")
+    label = written(connected_components(links(first.select("fp"), radius)).select(F.col("node").alias("fp"), "component"), "labels")
+    least = written(label.join(first, "fp").groupBy("component").agg(F.min("first").alias("least")), "least")  # Spark can split a join of tables
+    linked = label.join(least, "component").select("fp", "least")
+    final = written(first.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "final")
     return prints.join(final, "fp").select("doc_id", "fp", "component_id")
 
 
