@@ -11,14 +11,14 @@ from lectern.llm.common import written
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node links its larger neighbours to the smallest of itself and its neighbours."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
+    least = written(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m")), "least")  # Spark can split a join of tables
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node links itself and its smaller neighbours to the smallest of those."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = written(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = down.join(least, "a")
     return moved.select("a", F.col("m").alias("b")).union(moved.select(F.col("b").alias("a"), F.col("m").alias("b")))
 
@@ -38,6 +38,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if state[0] == 0 or state == mark:
             break
         mark = state
-        now = written(clean(_small_star(clean(_large_star(now)))), "edges")
+        large = written(clean(_large_star(now)), "edges")
+        now = written(clean(_small_star(large)), "edges")
     tops = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(tops.select("node", F.col("node").alias("component")))
