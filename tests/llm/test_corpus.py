@@ -353,6 +353,28 @@ def test_line_dedup_odd(odd, none):
     assert lines.dedup_lines(none).count() == 0 and found[0].size == "x"
 
 
+def test_edited_lines_are_found(spark):
+    """Recall against edit similarity alone, by words of a line; changed is how many are replaced by others."""
+    rng = np.random.default_rng(11)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnoprstu"), rng.integers(2, 9))) for _ in range(20000)]
+    rows, pairs = [], defaultdict(list)
+    for size, changed in ((6, 1), (10, 1), (10, 2), (13, 2), (20, 1), (20, 2), (20, 3), (30, 2), (30, 4), (50, 2), (50, 6), (100, 2), (100, 12)):
+        for _ in range(40):
+            a = list(rng.choice(vocabulary, size))
+            b = list(a)
+            for at in rng.choice(size, changed, replace=False):
+                b[at] = str(rng.choice(vocabulary))
+            a, b = " ".join(a), " ".join(b)
+            if a != b and edits(a, b) <= 0.2 * max(len(a), len(b)):
+                pairs[size, changed].append(len(rows) + 1)
+                rows += [(len(rows), a), (len(rows) + 1, b)]
+    gone = {x.doc_id for x in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).where("n_removed > 0").collect()}
+    assert gone <= {k for x in pairs.values() for k in x}
+    recall = {k: sum(x in gone for x in v) / len(v) for k, v in pairs.items() if len(v) > 4}
+    print({k: (round(v, 2), len(pairs[k])) for k, v in recall.items()})
+    assert len(recall) > 9 and min(recall.values()) >= 0.9, recall
+
+
 @pytest.mark.parametrize("n", [1, 1 << 30, 1 << 40])
 def test_blocks_share_one(n):
     rng = np.random.default_rng(9)
