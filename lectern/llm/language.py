@@ -78,12 +78,25 @@ class Filters(NamedTuple):
         share of them; ``und`` where the text has no letter (or nothing was learned)."""
         if not text or not self.languages or not has_letter(text):
             return "und", 0.0
-        found = grams(text)
-        n = len(found)
-        net = np.maximum(0.0, (self.hits(found) - n * self.false_rate) / (1 - self.false_rate)) if n else np.zeros(len(self.languages))
+        net, _ = self.net(text)
         best = int(net.argmax())
         return self.languages[best], float(net[best] / net.sum()) if net.sum() > 0 else 0.0
 
+    def net(self, text: bytes) -> tuple[np.ndarray, int]:
+        """Each language's hits less those that chance explains, and how many n-grams the text has."""
+        found = grams(text)
+        n = len(found)
+        return np.maximum(0.0, (self.hits(found) - n * self.false_rate) / (1 - self.false_rate)) if n else np.zeros(len(self.languages)), n
+
+    def tells(self, text: bytes | None, share: float, lead: float) -> bool:
+        """Whether the best language holds ``share`` of the text's n-grams at least, and ``lead`` of them more than the
+        second; neither depends on how many languages are learned."""
+        if not text or not self.languages or not has_letter(text):
+            return False
+        net, n = self.net(text)
+        top = np.sort(np.append(net, 0.0))
+        return n > 0 and bool(top[-1] >= share * n and top[-1] - top[-2] >= lead * n)
+
 
 def has_letter(text: bytes) -> bool:
     return len(text.translate(None, LETTERS)) < len(text) or not text.isascii() and any(map(str.isalpha, text.decode("utf-8", "replace")))
@@ -161,6 +174,17 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
     return map_arrow(rest, run, f"{schema}, lang_pred string, score double")
 
 
+def told(docs: DataFrame, filters: Filters, share: float, lead: float) -> DataFrame:
+    """The rows of ``docs`` whose language can be told (``Filters.tells``); a null text's cannot. Columns stay as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        known = shared.value
+        return batch.filter(pa.array([known.tells(x, share, lead) for x in bytes_of(batch, "text")], pa.bool_()))
+
+    return map_arrow(docs, run, docs.schema)
+
+
 def held_out() -> F.Column:
     """Documents that filters are never learned from: crc32 of doc_id's digits is 2 modulo 4. A null doc_id isn't one."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))

@@ -415,6 +415,23 @@ def test_language_odd(odd, none):
     assert {x.lang_pred for x in language.identify(odd, language.learn(none)).collect()} == {"und"}
 
 
+def test_pipeline_rejects_what_no_language_holds(spark, tables, docs):
+    """Two or four languages learned alike: gibberish and an unlearned language go, short clean texts stay."""
+    rng = np.random.default_rng(6)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    nonsense = [" ".join("".join(rng.choice(letters, rng.integers(2, 9))) for _ in range(60)) for _ in range(30)]
+    for learned in (("en", "de"), ("de", "en", "es", "fr")):
+        rows = [(x.doc_id, x.text, x.lang if x.lang in learned else None) for x in docs.values() if x.text]
+        other = {x.doc_id for x in docs.values() if x.text and x.lang not in learned}
+        short = [(20000 + x.doc_id, " ".join(x.text.split()[:12]), None) for x in docs.values() if x.text and x.lang in learned and len(x.text.split()) > 100]
+        rows += [(10000 + k, x, None) for k, x in enumerate(nonsense)] + [(30000, "A1-77 B2-93 the C3-15 " * 20, None)] + short
+        kept = {x.doc_id for x in corpus_pipeline.language_id(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "").collect()}
+        assert not any(10000 <= x < 20000 or x == 30000 for x in kept)
+        assert len(kept & other) <= 0.02 * len(other), (learned, kept & other)
+        assert len(kept & {x[0] for x in short}) >= 0.9 * len(short) > 20
+        assert len(kept & {k for k in docs} - other) >= 0.95 * len([x for x in rows if x[0] in docs and x[0] not in other])
+
+
 # top-k
 
 
