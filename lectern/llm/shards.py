@@ -5,12 +5,12 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from lectern.llm.common import bytes_of, map_arrow, read, written
+from lectern.llm.common import bytes_of, map_arrow, read, scratch, small_batches, written
 
 SHARDS = 8
 #: Bytes of records that a bucket holds, about; one task shuffles a bucket in memory.
@@ -37,19 +37,18 @@ def shuffled(rows: DataFrame, seed: int = 42, bucket_bytes: int = BUCKET) -> Dat
     # A row a bucket, some bytes for each 32 MB of records; Spark broadcasts it only below its own threshold.
     starts = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("start"))
 
-    def shuffle(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row_no", ignore_index=True)
-        place = np.random.default_rng([seed, int(key[0])]).permutation(len(pdf))  # numpy's Fisher-Yates
-        return pdf.assign(place=place)
+    def shuffle(key: tuple, records: pa.Table) -> pa.Table:
+        records = records.take(pa.array(np.argsort(records["row_no"].to_numpy(), kind="stable")))
+        place = np.random.default_rng([seed, key[0].as_py()]).permutation(len(records))  # numpy's Fisher-Yates
+        return records.append_column("place", pa.array(place, pa.int64()))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields) + ", place long"
-    placed = dealt.groupBy("bucket").applyInPandas(shuffle, schema)
-    return placed.join(starts, "bucket").withColumn("position", F.col("start") + F.col("place")).drop("bucket", "start", "place")
+    dealt = dealt.join(starts, "bucket")  # before records move, so that they move once
+    placed = dealt.groupBy("bucket").applyInArrow(shuffle, StructType([*dealt.schema.fields, StructField("place", LongType())]))
+    return placed.withColumn("position", F.col("start") + F.col("place")).drop("bucket", "start", "place")
 
 
-def cut(rows: DataFrame, shards: int) -> DataFrame:
-    """shard and slot from position: consecutive runs whose lengths differ by one at most."""
-    n = rows.select("row_no").count()
+def cut(rows: DataFrame, n: int, shards: int) -> DataFrame:
+    """shard and slot from the positions of ``n`` rows: consecutive runs whose lengths differ by one at most."""
     small, more = divmod(n, shards)  # the first ``more`` shards hold small + 1 rows
     edge, at = more * (small + 1), F.col("position")
     early = at < edge
@@ -58,33 +57,42 @@ def cut(rows: DataFrame, shards: int) -> DataFrame:
     return rows.withColumn("shard", shard.cast("int")).withColumn("slot", slot.cast("long"))
 
 
-def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = 42) -> DataFrame:
-    """doc_id, size, text_crc32, row_no, shard and slot (gapless from 0) for each row; counts of shards differ by one at most.
+def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = 42, steady: bool = False) -> DataFrame:
+    """doc_id, size, text_crc32, shard and slot (gapless from 0) for each row of the shards that this writes below the
+    shared folder and reads back; counts of shards differ by one at most.
 
     size: UTF-8 bytes of the text (null: none) plus 1; text_crc32: unsigned, of an empty text where it is null.
     Rows that repeat, or share an id or a text, each have their own slot, and so do rows with a null doc_id.
-    Extra columns are ignored; an empty table gives an empty result.
+    Extra columns move with their rows; an empty table gives an empty result.
     """
+    path = scratch(docs.sparkSession, "shards")
+    write_shards(docs, path, shards, seed, steady)
 
     def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [x or b"" for x in bytes_of(batch, "text")]
-        columns = [batch.column("doc_id"), batch.column("row_no"), pa.array([len(x) + 1 for x in texts], pa.int64()), pa.array(list(map(zlib.crc32, texts)), pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "row_no", "size", "text_crc32"])
+        columns = [batch.column("doc_id"), pa.array([len(x) + 1 for x in texts], pa.int64()), pa.array(list(map(zlib.crc32, texts)), pa.int64()), batch.column("shard"), batch.column("slot")]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "size", "text_crc32", "shard", "slot"])
 
-    numbered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.monotonically_increasing_id().alias("row_no"))
-    rows = written(map_arrow(numbered, digest, "doc_id long, row_no long, size long, text_crc32 long"), "digests")
-    return cut(shuffled(rows, seed), shards)
+    fields = [f for f in docs.schema.fields if f.name not in ("shard", "slot")]
+    found = docs.sparkSession.read.schema(StructType([*fields, StructField("slot", LongType()), StructField("shard", IntegerType())])).parquet(path)
+    found = found.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "shard", "slot")
+    return map_arrow(found, digest, "doc_id long, size long, text_crc32 long, shard int, slot long")
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = 42) -> None:
-    """Writes whole rows as Parquet below ``path``/shard=N, each shard's files in slot order; a bucket is a task's memory."""
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = 42, steady: bool = False, bucket_bytes: int = BUCKET) -> None:
+    """Writes whole rows, with their slot, as Parquet below ``path``/shard=N; a bucket is a task's memory. Whoever shuffles
+    a bucket writes it: rows of a file are in slot order. Columns named shard or slot are replaced. ``steady``: every
+    reading of ``docs`` gives the same rows in the same partitions, as one of files does; others are written first."""
+    names = [F.col(f"`{x}`") for x in docs.columns if x not in ("shard", "slot")]
     size = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)) + 1
-    rows = written(docs.withColumns({"row_no": F.monotonically_increasing_id(), "size": size.cast("long")}), "numbered")
-    placed = cut(shuffled(rows, seed), shards).drop("row_no", "size", "position")
-    parts = max(shards, placed.sparkSession.sparkContext.defaultParallelism)
-    placed.repartitionByRange(parts, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    rows = docs.select(F.struct(*names).alias("record"), F.monotonically_increasing_id().alias("row_no"), size.cast("long").alias("size"))
+    if not steady:
+        rows = written(rows, "numbered")
+    small_batches(docs.sparkSession)
+    placed = cut(shuffled(rows, seed, bucket_bytes), rows.count(), shards)
+    placed.select("record.*", "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = shard_rows(read(spark, sf_dir, "documents"))
+    found = shard_rows(read(spark, sf_dir, "documents"), steady=True)
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -139,6 +139,21 @@ def test_shards_odd(odd, none, tmp_path):
     assert odd.sparkSession.read.parquet(str(tmp_path / "out")).count() == len(ROWS)
 
 
+def test_op3_shuffles_whole_records(spark, tables, monkeypatch):
+    """The query's slots are those of the records that it writes, whatever the size of buckets."""
+    paths, real = [], shards.write_shards
+
+    def spy(docs, path, *args):
+        paths.append(path)
+        real(docs, path, *args, bucket_bytes=4096)
+
+    monkeypatch.setattr(shards, "write_shards", spy)
+    found = {(x.doc_id, x.shard, x.slot) for x in shards.op3(spark, tables).collect()}
+    back, docs = spark.read.parquet(paths[0]), spark.read.parquet(f"{tables}/documents.parquet")
+    assert len(paths) == 1 and found == {tuple(x) for x in back.select("doc_id", "shard", "slot").collect()}
+    assert sorted(map(tuple, back.select(*docs.columns).collect())) == sorted(map(tuple, docs.collect()))
+
+
 # quality rules
 
 
