@@ -19,29 +19,39 @@ def base_ids(entries: DataFrame, prefix: str | None = None) -> DataFrame:
 
 
 def assign_ids(entries: DataFrame, ascii_only: bool = False) -> DataFrame:
-    """Adds id and occurrence. ``entries``: module, ordinal, key, base.
+    """Adds id and occurrence. ``entries``: module, ordinal (unique in its module), key, base; further columns are joined
+    to the ids afterwards.
 
     The first key to claim a folded base keeps it; another key with that base is named by its hash. Later entries
     of the same name are numbered by their order, and the number is part of the id from the second on. Two
-    windows do this wherever no base looks like a numbered id; modules where one does go through the same rule
-    one entry after another.
+    windows do this wherever no base looks like a numbered id. Bases that do, and those that they would number, go
+    through the same rule one entry after another, each such family alone; only where a key has several bases in a
+    module that has such families, so that its hash may name entries of two, is the module one family.
     """
-    folded = entries.withColumn("folded", fold_col("base", ascii_only=ascii_only))
-    numbered = folded.where(F.col("folded").rlike("--[0-9]+$")).select("module").distinct()
-    plain, odd = folded.join(numbered, "module", "left_anti"), folded.join(numbered, "module", "left_semi")
+    slim = entries.select("module", "ordinal", "key", "base")
+    folded = slim.withColumn("folded", fold_col("base", ascii_only=ascii_only)).withColumn("family", F.regexp_replace("folded", "(--[0-9]+)+$", ""))
+    numbered = folded.where(F.col("folded") != F.col("family")).select("module", "family").distinct()
+    several = folded.join(numbered.select("module").distinct(), "module", "left_semi").groupBy("module", "key").agg(F.count_distinct("folded").alias("n"))
+    whole = several.where("n > 1").select("module", F.lit(True).alias("whole")).distinct()
+    folded = folded.join(whole, "module", "left").withColumn("family", F.when(F.col("whole"), F.lit("")).otherwise(F.col("family"))).drop("whole")
+    numbered = numbered.union(whole.select("module", F.lit("").alias("family")))
+    plain, odd = folded.join(numbered, ["module", "family"], "left_anti"), folded.join(numbered, ["module", "family"], "left_semi")
     claim = Window.partitionBy("module", "folded").orderBy("ordinal")
     owned = plain.withColumn("final", F.when(F.first("key").over(claim) == F.col("key"), F.col("base")).otherwise(hashed_id(F.col("key"))))
     owned = owned.withColumn("folded", fold_col("final", ascii_only=ascii_only))
     turn = F.row_number().over(Window.partitionBy("module", "folded").orderBy("ordinal"))
     counted = owned.withColumn("occurrence", turn.cast("long"))
     done = counted.withColumn("id", F.when(F.col("occurrence") > 1, F.concat("final", F.lit("--"), "occurrence")).otherwise(F.col("final")))
-    names = [*entries.columns, "id", "occurrence"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in entries.schema.fields) + ", id string, occurrence long"
-    return done.select(*names).union(odd.drop("folded").groupBy("module").applyInPandas(_one_by_one, schema).select(*names))
+    names = [*slim.columns, "id", "occurrence"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*slim.schema.fields, odd.schema["family"]]) + ", id string, occurrence long"
+    found = done.select(*names).union(odd.drop("folded").groupBy("module", "family").applyInPandas(_one_by_one, schema).select(*names))
+    if not set(entries.columns) - set(slim.columns):
+        return found.select(*entries.columns, "id", "occurrence")
+    return entries.join(found.select("module", "ordinal", "id", "occurrence"), ["module", "ordinal"]).select(*entries.columns, "id", "occurrence")
 
 
 def _one_by_one(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The rule in the order of entries, for a module whose own ids may meet numbered ones. Two entries that end with
+    """The rule in the order of entries, for a family of bases whose own ids may meet numbered ones. Two entries that end with
     one id are an error rather than one silently replacing the other."""
     pdf = pdf.sort_values("ordinal", ignore_index=True)
     owner: dict[str, str] = {}

@@ -158,3 +158,26 @@ def test_publish(spark, tmp_path):
         publish.reset_folder(str(tmp_path), str(tmp_path))
     order = spark.createDataFrame([("clarke.json",), ("clarke/1.json",)], "path string").orderBy(publish.manifest_order()).collect()
     assert [x.path for x in order] == ["clarke/1.json", "clarke.json"]
+
+
+def test_a_numbered_base_takes_its_family_alone(spark, monkeypatch):
+    """Tasks see the entries of one family, without further columns; ids are those of the rule over the whole module."""
+    import pandas as pd
+
+    from lectern.operators import lexicon
+
+    keys = ["a", "b", "b", "b--2", "B", "c", "c", "d--1", "d--1", "d--1--2", "a", "e"]
+    rows = [("m", k, x, "k-" + x, "html") for k, x in enumerate(keys)]
+    wanted = lexicon._one_by_one(pd.DataFrame([x[:4] for x in rows], columns=["module", "ordinal", "key", "base"]))
+    real = lexicon._one_by_one
+
+    def alone(pdf: pd.DataFrame) -> pd.DataFrame:
+        if "html" in pdf or len(set(pdf["base"].str.lower().str.replace("(--[0-9]+)+$", "", regex=True))) > 1:
+            raise ValueError("more than a family")
+        return real(pdf)
+
+    monkeypatch.setattr(lexicon, "_one_by_one", alone)
+    entries = spark.createDataFrame(rows, "module string, ordinal long, key string, base string, html string")
+    found = lexicon.assign_ids(entries, ascii_only=True)
+    assert found.columns == [*entries.columns, "id", "occurrence"]
+    assert sorted((x.ordinal, x.id, x.occurrence, x.html) for x in found.collect()) == [(o, i, n, "html") for o, i, n in zip(wanted["ordinal"], wanted["id"], wanted["occurrence"], strict=True)]
