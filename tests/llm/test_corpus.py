@@ -4,8 +4,10 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -299,44 +301,84 @@ def test_similar():
         assert lines.similar(a, b) == wanted, (a, b)
 
 
-def line_print(line):
-    found = [xxhash.xxh64_intdigest(x, 1) for x in set(line.split())]
-    return sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in found) > len(found))
+def test_edits_counted_together():
+    """Many pairs at once, some longer than a word of bits, against the plain table."""
+    rng = np.random.default_rng(8)
+    a, b = [], []
+    for _ in range(150):
+        x = "".join(rng.choice(list("abcdé漢"), rng.integers(1, 200)))
+        y = list(x)
+        for _ in range(rng.integers(0, len(x) // 2 + 2)):
+            at = rng.integers(0, len(y) + 1)
+            y[at : at + rng.integers(0, 2)] = list(rng.choice(list("abcdé漢"), rng.integers(0, 2)))
+        x, y = sorted((x, "".join(y) or "a"), key=len)
+        a.append(x)
+        b.append(y)
+    exact = np.array([edits(x, y) for x, y in zip(a, b, strict=True)])
+    for change in (-1, 0, 1):
+        most = np.maximum(0, exact + change)
+        assert (lines.within(a, b, most) == (exact <= most)).all()
+        assert [lines.few(x, y, m) for x, y, m in zip(a, b, most.tolist(), strict=True)] == (exact <= most).tolist()
+
+
+def true_links(kinds):
+    """All pairs of the texts whose edit similarity is 0.8 or more, by another engine's edit distance. Each edit changes
+    the count of one character on either side at most, which spares most pairs the distance."""
+    n = np.array(list(map(len, kinds)))
+    counts = np.array([np.bincount(np.frombuffer(x.encode("utf-32-le"), np.uint32) % 64, minlength=64) for x in kinds])
+    left, right = [], []
+    for k in range(len(kinds)):
+        more = counts[k + 1 :] - counts[k]
+        near = np.flatnonzero(np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1)) <= 0.2 * np.maximum(n[k], n[k + 1 :]) + 1e-9)
+        left += [kinds[k]] * len(near)
+        right += [kinds[k + 1 + j] for j in near]
+    duck = duckdb.connect()
+    duck.register("given", pa.table({"a": pa.array(left, pa.string()), "b": pa.array(right, pa.string())}))
+    return duck.execute("SELECT a, b FROM given WHERE levenshtein(a, b) <= 0.2 * greatest(length(a), length(b)) + 1e-9").fetchall()
 
 
 def plain_dedup(rows):
-    """rows: (doc_id, text), ids distinct. What each text keeps."""
+    """rows: (doc_id, text), ids distinct. The places of lines that have an earlier one in their group."""
     place, norm = [], []
     for doc, text in rows:
         for at, line in enumerate((text or "").split("\n")):
             if line.split():
                 place.append((doc, at))
                 norm.append(" ".join(line.lower().split()))
-    kinds = sorted(set(norm))
-    prints = np.array([line_print(x) for x in kinds], np.uint64)
-    up = {x: x for x in kinds}
+    up = {x: x for x in norm}
 
     def top(x):
         while up[x] != x:
             x = up[x]
         return x
 
-    for i, a in enumerate(kinds):
-        for j in np.flatnonzero(np.bitwise_count(prints ^ prints[i]) <= lines.RADIUS):
-            if j > i and lines.similar(a, kinds[j]):
-                x, y = top(a), top(kinds[j])
-                up[max(x, y)] = min(x, y)
+    for a, b in true_links(sorted(up)):
+        x, y = top(a), top(b)
+        up[max(x, y)] = min(x, y)
     first = {}
     for where, line in sorted(zip(place, norm, strict=True), key=lambda x: x[0]):
         first.setdefault(top(line), where)
-    gone = {where for where, line in zip(place, norm, strict=True) if first[top(line)] != where}
-    return {doc: "\n".join(x for at, x in enumerate(text.split("\n")) if (doc, at) not in gone) if text else text for doc, text in rows}, len(gone)
+    return {where for where, line in zip(place, norm, strict=True) if first[top(line)] != where}, len(place) - len(up)
+
+
+def removed(docs):
+    return {(x.doc_id, at) for x in lines.removals(docs).collect() for at in x.gone}
 
 
 def test_line_dedup(spark, tables, docs):
-    wanted, gone = plain_dedup([(k, x.text) for k, x in docs.items()])
+    """Against all pairs of lines: nothing goes that stays by true edit similarity, and next to all goes that goes by it."""
+    short = {k for k, x in docs.items() if max(map(len, (x.text or "").split("\n"))) <= 1500}  # brute force is quadratic in lines
+    wanted, equal = plain_dedup([(k, docs[k].text) for k in short])
+    frame = spark.read.parquet(f"{tables}/documents.parquet")
+    some = removed(frame.where(F.col("doc_id").isin(list(short))))
+    assert some <= wanted and len(wanted) > equal + 5 and len(short) > 0.9 * len(docs)
+    assert len(some) - equal >= 0.9 * (len(wanted) - equal), (len(some), len(wanted), equal)
+    gone = removed(frame)
     found = lines.op7(spark, tables).collect()
-    assert {x.doc_id: x.text for x in found} == wanted and sum(x.n_removed for x in found) == gone > 0
+    for x in found:
+        kept = [line for at, line in enumerate(docs[x.doc_id].text.split("\n")) if (x.doc_id, at) not in gone] if docs[x.doc_id].text else None
+        assert x.text == ("\n".join(kept) if kept is not None else docs[x.doc_id].text)
+        assert x.n_removed == sum(doc == x.doc_id for doc, _ in gone)
 
 
 def test_fuzzy_lines(spark):
@@ -349,16 +391,16 @@ def test_fuzzy_lines(spark):
         if k >= 8:
             line[rng.integers(0, 150)] += "x"
         rows.append((k, "Head " + str(k % 5) + "\n" + " ".join(line)))
-    wanted, gone = plain_dedup(rows)
-    found = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {x.doc_id: x.text for x in found} == wanted and gone > 150
+    wanted, _ = plain_dedup(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert removed(frame) == wanted and len(wanted) > 150
     grid, part = lines.HOT, lines.PART
     try:  # hot blocks and large groups go through grids with the same result
         lines.HOT, lines.PART = 4, 4
-        again = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        again = removed(frame)
     finally:
         lines.HOT, lines.PART = grid, part
-    assert {x.doc_id: x.text for x in again} == wanted
+    assert again == wanted
 
 
 def test_line_dedup_odd(odd, none):
