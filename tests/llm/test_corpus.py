@@ -503,13 +503,38 @@ def test_top_k_odd(spark):
 
 def test_bounds_hold():
     rng = np.random.default_rng(2)
-    x, y = rng.normal(0, 60, (50, 30)), rng.normal(0, 60, (40, 30))
+    x, y = rng.normal(0, 60, (50, 64)), rng.normal(0, 60, (40, 64))
     last = None
-    for parts in topk.LEVELS:
+    for parts in topk.levels(64):
         bound = topk.segments(x, parts) @ topk.segments(y, parts).T
         assert (bound >= x @ y.T - 1e-6).all()
         assert last is None or (bound <= last + 1e-6).all()
         last = bound
+    assert topk.levels(64) == [1, 4, 16, 32, 48] and topk.levels(1) == [1] and topk.levels(3) == [1, 2]
+
+
+def test_bounds_prune(spark, tables):
+    """Under a quarter of the candidates are compared exactly, with the floor that a sample of the vectors gives."""
+    rows = spark.read.parquet(f"{tables}/embeddings.parquet").where("embedding is not null").collect()
+    x = np.floor(256 * np.array([r.embedding for r in rows], np.float64))
+    ids = np.array([r.vec_id for r in rows])
+    chunk = topk.Chunk(ids, x)
+    left = 0
+    for i in range(0, len(x), 50):
+        scores = np.sort((x @ x[i])[ids != ids[i]])
+        asked = [topk.segments(x[i : i + 1], p)[0] for p in chunk.parts]
+        found = chunk.survivors(chunk.coarse[0] @ asked[0], asked, x[i], scores[-5], ids[i], 5)
+        assert (np.sort(x[found] @ x[i])[-5:] == scores[-5:]).all()
+        left += len(found)
+    assert left < 0.25 * len(x) * len(range(0, len(x), 50))
+
+
+def test_top_k_of_long_vectors(spark):
+    """Scores beyond 2**53 are exact; vectors whose scores might not fit take no part; an id's vectors are queries each."""
+    rows = [(0, [4e6, 1.0]), (1, [4e6, 1.0]), (2, [4e6, 2.0]), (3, [1e15, 0.0]), (0, [-1.0, 0.0])]
+    found = sorted(map(tuple, topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()))
+    big = 256 * 4000000
+    assert found == sorted([(0, 1, 2, big * big + 256 * 512), (0, 2, 1, big * big + 256 * 256), (0, 1, 1, -256 * big), (0, 2, 2, -256 * big)])
 
 
 # SimHash
