@@ -19,20 +19,27 @@ from lectern.llm.common import read, scratch, small_batches, written
 LEAST = 100
 #: Ranges that lie no further apart are read at once, and at most so many bytes at once.
 GAP, AT_ONCE = 64 << 10, 8 << 20
+#: Tasks that read records, at most.
+TASKS = 1 << 16
 INDEX = "page_id long, url string, file string, offset long, length long, digest string, record_type string"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
 
+def record_id(page: int | None, digest: str) -> str:
+    """The same for the same page and payload, so that a revisit can name the record that it refers to."""
+    return f"<{(uuid.uuid4() if page is None else uuid.uuid5(uuid.NAMESPACE_OID, f'{page} {digest}')).urn}>"
+
+
 def record(page: int | None, url: str | None, payload: bytes, digest: str, refers: int | None, revisit: bool) -> bytes:
     """One record, uncompressed. A revisit holds the size and digest of the payload that it refers to, not the payload."""
     clean = "".join(x for x in url or "" if x not in "\r\n")
     head = [
-        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>",
+        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(page, digest)}",
         "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Target-URI: {clean}", f"WARC-Payload-Digest: sha256:{digest}",
         f"X-Payload-Length: {len(payload)}", f"X-Page: {'' if page is None else page}",
     ]
     if revisit:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page: {refers}"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(refers, digest)}", f"X-Refers-To-Page: {refers}"]
     body = b"" if revisit else payload
     head += ["Content-Type: application/octet-stream", f"Content-Length: {len(body)}"]
     return "\r\n".join(head).encode("utf-8", "replace") + b"\r\n\r\n" + body + b"\r\n\r\n"
@@ -148,8 +155,11 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
 
     long, text = pa.int64(), pa.string()
     schema = pa.schema([("page_id", long), ("url", text), ("payload_bytes", long), ("payload_digest", text), ("record_type", text), ("refers_to", long), ("payload", pa.binary())])
-    slices = F.floor(F.col("offset") / (4 * AT_ONCE))  # a file's far parts may go to other tasks
-    spread = index.select("file", "offset", "length").repartition(F.col("file"), slices).sortWithinPartitions("file", "offset")
+    slices = F.floor(F.col("offset") / AT_ONCE)  # a file's far parts may go to other tasks
+    # A row of the index is small whatever it stands for, so the number of tasks comes from the bytes to be read.
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = min(1 + int(total) // AT_ONCE, TASKS)
+    spread = index.select("file", "offset", "length").repartition(tasks, F.col("file"), slices).sortWithinPartitions("file", "offset")
     return spread.mapInArrow(load, RECORD)
 
 
