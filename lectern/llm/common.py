@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,11 +16,14 @@ BLANKS = b" \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only where all run on one machine may it be
+    unset; then it is one of our own."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="lectern-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")

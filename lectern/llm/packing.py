@@ -11,7 +11,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import public_tokenizers
-import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -26,8 +25,6 @@ CELL, ISLANDS = 768, 2
 ROUNDS, POPULATION, GENERATIONS = 2, 4, 6
 #: Chunks of text whose ids a worker keeps before it starts anew.
 CACHED = 1 << 20
-#: No pre-token and no special token of the tokenizer crosses one of these.
-GAP = regex.compile(r"[ \n]+")
 
 _ids: dict[str, Ids] = {}
 
