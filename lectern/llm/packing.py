@@ -20,9 +20,9 @@ from lectern.llm.common import map_arrow, read, written
 
 ROOM, END = 4096, 1
 #: Pieces of a cell, about; a cell's islands pack the same pieces from different seeds.
-CELL, ISLANDS = 768, 2
+CELL, ISLANDS = 768, 4
 #: Rounds between which the best of each island moves on; packings of an island and generations of a round.
-ROUNDS, POPULATION, GENERATIONS = 2, 4, 6
+ROUNDS, POPULATION, GENERATIONS = 2, 20, 20
 #: Chunks of text whose ids a worker keeps before it starts anew.
 CACHED = 1 << 20
 
@@ -155,9 +155,23 @@ def cross(a: list[list[int]], b: list[list[int]], sizes: list[int], room: int, r
     return child.bins
 
 
+def least_bins(sizes: list[int], room: int) -> int:
+    """A number of bins that no packing falls below: by room, and by pieces of over half of it, of which no two share a
+    bin, with what smaller pieces need beyond the room that those leave (for every size that sets the smallest apart)."""
+    best = -(-sum(sizes) // room)
+    ordered = np.sort(np.array(sizes, np.int64))
+    big = ordered[2 * ordered > room]
+    for small in np.unique(ordered[2 * ordered <= room]):
+        huge = big[big > room - small]
+        mid = big[big <= room - small]
+        rest = ordered[(ordered >= small) & (2 * ordered <= room)].sum() - (room * len(mid) - mid.sum())
+        best = max(best, len(huge) + len(mid) + max(0, -(-int(rest) // room)))
+    return max(best, len(big))
+
+
 def evolve(sizes: list[int], start: list[list[list[int]]], room: int, rng: np.random.Generator) -> list[list[int]]:
     """The best packing that a population reaches in a round; it stops at the least number of bins that there can be."""
-    least = -(-sum(sizes) // room)
+    least = least_bins(sizes, room)
     down = sorted(range(len(sizes)), key=lambda x: (-sizes[x], x))
     people = [*start, best_fit(sizes, down, room)]
     while len(people) < POPULATION and min(map(len, people)) > least:
@@ -201,13 +215,31 @@ def _round(seed: int, turn: int, room: int) -> Callable[[tuple, pd.DataFrame], p
     return run
 
 
+def _first(room: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
+    """Best fit, the largest first, and whether it takes the least number of bins that there can be."""
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("uid", ignore_index=True)
+        sizes = pdf["length"].tolist()
+        bins = best_fit(sizes, sorted(range(len(sizes)), key=lambda x: (-sizes[x], x)), room)
+        number = np.empty(len(pdf), np.int32)
+        for k, members in enumerate(bins):
+            number[members] = k
+        return pdf.assign(own=number, least=len(bins) <= least_bins(sizes, room))
+
+    return run
+
+
 def islands(items: DataFrame, seed: int, room: int = ROOM) -> DataFrame:
     """(uid, cell, length, bin): each cell's best packing. ``items``: uid, cell, length.
 
-    Every cell lives on ISLANDS islands. A round evolves each island by itself; then its best packing stays there
-    and goes on to the next island as well, and the next round starts from both.
+    A cell that best fit packs in the least number of bins is done. Every other one lives on ISLANDS islands. A round
+    evolves each island by itself; then its best packing stays there and goes on to the next island as well, and the next
+    round starts from both.
     """
-    live = items.select("uid", "cell", "length", F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island"), F.lit(-1).alias("own"), F.lit(-1).alias("guest"))
+    start = written(items.groupBy("cell").applyInPandas(_first(room), "uid long, cell long, length long, own int, least boolean"), "first")
+    every = F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island")
+    live = start.where("not least").select("uid", "cell", "length", every, "own", F.lit(-1).alias("guest"))
     for turn in range(ROUNDS):
         live = live.groupBy("cell", "island").applyInPandas(_round(seed, turn, room), live.schema)
         if turn < ROUNDS - 1:
@@ -217,7 +249,8 @@ def islands(items: DataFrame, seed: int, room: int = ROOM) -> DataFrame:
             live = moved.groupBy("uid", "cell", "length", F.col("go.at").alias("island")).agg(F.max(F.when(F.col("go.home"), F.col("own"))).alias("own"), F.max(F.when(~F.col("go.home"), F.col("own"))).alias("guest"))
     live = written(live.select("uid", "cell", "length", "island", "own"), "islands")
     rank = live.groupBy("cell", "island").agg(F.max("own").alias("bins")).groupBy("cell").agg(F.min_by("island", F.struct("bins", "island")).alias("island"))
-    return live.join(rank, ["cell", "island"]).select("uid", "cell", "length", F.col("own").alias("bin"))
+    evolved = live.join(rank, ["cell", "island"]).select("uid", "cell", "length", F.col("own").alias("bin"))
+    return start.where("least").select("uid", "cell", "length", F.col("own").alias("bin")).union(evolved)
 
 
 def pack(found: DataFrame, seed: int = 42, room: int = ROOM) -> DataFrame:

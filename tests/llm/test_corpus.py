@@ -241,6 +241,39 @@ def test_genetic_packing_keeps_pieces():
     assert len(best) <= len(packing.best_fit(sizes, down, 4096))
 
 
+def test_genetic_packing_beats_best_fit():
+    """Pieces of a quarter to half of the room: best fit, the largest first, isn't the best there is."""
+    better = 0
+    for seed in range(20):
+        sizes = [int(x) for x in np.random.default_rng(seed).integers(1024, 2048, 120)]
+        down = sorted(range(120), key=lambda x: -sizes[x])
+        first, best = packing.best_fit(sizes, down, 4096), packing.evolve(sizes, [], 4096, np.random.default_rng(seed))
+        assert packing.least_bins(sizes, 4096) <= len(best) <= len(first)
+        better += len(best) < len(first)
+    assert better > 12
+
+
+def test_least_bins():
+    assert packing.least_bins([], 10) == 0 and packing.least_bins([6, 6, 6, 1], 10) == 3 and packing.least_bins([5, 5, 5], 10) == 2 and packing.least_bins([7, 7, 4, 4], 10) == 3
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        sizes = [int(x) for x in rng.integers(1, 11, 12)]
+        assert packing.least_bins(sizes, 10) <= len(packing.best_fit(sizes, sorted(range(12), key=lambda x: -sizes[x]), 10))
+
+
+def test_islands_evolve_what_best_fit_leaves(spark):
+    """A cell that best fit packs badly is packed better by its islands; one at the bound stays as it is."""
+    hard = [int(x) for x in np.random.default_rng(4).integers(1024, 2048, 120)]
+    rows = [(k, 0, x) for k, x in enumerate(hard)] + [(1000 + k, 1, 1024) for k in range(40)]
+    found = packing.islands(spark.createDataFrame(rows, "uid long, cell long, length long"), 42).collect()
+    assert sorted((x.uid, x.cell, x.length) for x in found) == sorted(rows)
+    used = Counter()
+    for x in found:
+        used[x.cell, x.bin] += x.length
+    first = packing.best_fit(hard, sorted(range(120), key=lambda x: -hard[x]), 4096)
+    assert max(used.values()) <= 4096 and sum(c == 1 for c, _ in used) == 10 and sum(c == 0 for c, _ in used) < len(first)
+
+
 def test_packing_odd(odd, none):
     found = packing.pack_documents(odd, with_ids=True).collect()
     assert sum(x.doc_id == 5 for x in found) == 2 and {x.length for x in found if x.doc_id in (2, 3, 4)} == {1}
