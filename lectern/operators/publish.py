@@ -15,7 +15,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.functions.render import bare, member_lines, stable_json
+from lectern.functions.render import member_lines, stable_json
 
 #: Bytes of a document at most (0: any), and above which it is worth a word.
 CEILING, WARNING = 95 << 20, 50 << 20
@@ -118,18 +118,21 @@ def write_composed(folder: str, path: str, header: dict, member: str, sources: l
     """
     store, base = _store(folder)
     target = posixpath.join(base, path)
-    part, size = f"{target}.{uuid.uuid4().hex}.part", 0
-    head = stable_json(header).rstrip("\n").removesuffix("}").rstrip("\n")
-    head += ("," if bare(header) else "") + f'\n  "{member}": ['
-    with store.open_output_stream(part) as out:
-        out.write(head.encode())
-        size += len(head.encode())
+    part, mark, size = f"{target}.{uuid.uuid4().hex}.part", uuid.uuid4().hex, 0
+
+    def text() -> Iterator[str]:
+        """The document as it is with one member in the array, or none; then each source in that member's place."""
+        before, *after = stable_json({**header, member: [mark] if sources else []}).split(f'"{mark}"')
+        yield before
         for k, source in enumerate(sources):
             with store.open_input_stream(posixpath.join(base, source)) as one:
-                text = (",\n" if k else "\n") + member_lines(one.read().decode())
-            out.write(text.encode())
-            size += len(text.encode())
-        tail = ("\n  ]" if sources else "]") + "\n}\n"
-        out.write(tail.encode())
+                lines = member_lines(one.read().decode()).lstrip(" ")
+            yield f",\n    {lines}" if k else lines
+        yield from after
+
+    with store.open_output_stream(part) as out:
+        for data in map(str.encode, text()):
+            out.write(data)
+            size += len(data)
     store.move(part, target)
-    return size + len(tail.encode())
+    return size

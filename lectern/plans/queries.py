@@ -219,7 +219,7 @@ ALIASES = """aliases AS (
     SELECT ordinal, id, folded AS alias, 0 AS rank FROM named UNION ALL SELECT ordinal, id, search, 1 FROM named) WHERE alias <> '' GROUP BY alias
 )"""
 EDGES = rf"""WITH {BASES}, {ALIASES}, found AS (
-  SELECT id, unnest(regexp_extract_all(html, '(?is)<(?:reference|ref|a)\b[^>]*?\b(?:target|href|osisref)\s*=\s*["'']([^"'']+)["'']', 1)) AS raw FROM named
+  SELECT id, unnest(regexp_extract_all(html, '(?i)<(?:ref|reference|a)\b[^>]*?\b(?:target|href|osisref)\s*=\s*["'']([^"'']+)["'']', 1)) AS raw FROM named
 ), cut AS (
   SELECT DISTINCT id, regexp_replace(trim(regexp_replace(regexp_replace(raw, '^.*/', ''), '^[^:]*:', '')), '^#+|#+$', '', 'g') AS target FROM found
 ), wanted AS (
