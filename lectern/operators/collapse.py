@@ -50,11 +50,12 @@ def utf8_bytes(text: str = "text") -> Column:
     return F.coalesce(F.octet_length(F.encode(F.col(text), "UTF-8")), F.lit(0)).cast("long")
 
 
-def storage(rows: DataFrame, collapsed: DataFrame, text: str = "text") -> DataFrame:
-    """One row: entries and bytes before and after the collapse. The rounded ratio is made by ``ratio`` on the driver."""
-    before = rows.agg(F.count("*").alias("source_entries"), F.coalesce(F.sum(utf8_bytes(text)), F.lit(0)).alias("source_bytes"))
-    after = collapsed.agg(F.count("*").alias("published_entries"), F.coalesce(F.sum(utf8_bytes(text)), F.lit(0)).alias("published_bytes"))
-    return before.crossJoin(after)  # one row each
+def storage(collapsed: DataFrame, text: str = "text") -> DataFrame:
+    """One row: entries and bytes before and after the collapse, from the collapsed rows alone, as a row's ``copies`` says how
+    many it stands for. The rounded ratio is made by ``ratio`` on the driver."""
+    size = utf8_bytes(text)
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0)).cast("long")
+    return collapsed.agg(total(F.col("copies")).alias("source_entries"), total(F.col("copies") * size).alias("source_bytes"), F.count("*").alias("published_entries"), total(size).alias("published_bytes"))
 
 
 def ratio(source_bytes: int, published_bytes: int) -> float:

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.ids import canonical_number, number_prefix
-from lectern.functions.refs import reference_tokens
-from lectern.functions.text import public_text_col, search_fold_col, slug_col
-from lectern.operators import checks, collapse, lexicon, policy
+from lectern.functions.refs import coordinates, reference_tokens
+from lectern.functions.text import license_text, public_text_col, slug_col
+from lectern.operators import checks, collapse, commentary, lexicon, policy, publish, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,8 +95,7 @@ def book_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT (SELECT count(*) FROM lines) AS source_entries, (SELECT CAST(sum(octet_length(encode(text))) AS BIGINT) FROM lines) AS source_bytes,
        count(*) AS published_entries, CAST(sum(octet_length(encode(text))) AS BIGINT) AS published_bytes FROM collapsed""")
 def storage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = numbered_lines(spark, sf_dir)
-    return collapse.storage(lines, collapse.collapse(lines, ["doc_id"], order="verse"))
+    return collapse.storage(collapse.collapse(numbered_lines(spark, sf_dir), ["doc_id"], order="verse"))
 
 
 @query(f"{COLLAPSED} SELECT doc_id, text, verse FROM collapsed WHERE list_contains(covered, 3)")
@@ -284,7 +283,7 @@ def part_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     driver = F.create_map(*[F.lit(x) for pair in DRIVERS.items() for x in pair])[F.col("p_type")]
     category = F.when(F.col("p_size") % 2 == 0, "Commentaries").otherwise("Lexicons / Dictionaries")
-    rows = part.select("p_partkey", F.col("p_name").alias("name"), F.trim("p_brand").alias("license"), F.lower(F.trim("p_brand")).alias("license_key"), driver.alias("driver"), category.alias("category"))
+    rows = part.select("p_partkey", F.col("p_name").alias("name"), F.col("p_type").alias("type"), F.trim("p_brand").alias("license"), F.lower(F.trim("p_brand")).alias("license_key"), driver.alias("driver"), category.alias("category"))
     return rows.withColumn("kind", policy.module_kind(F.col("driver"), F.col("category"), F.lit("")))
 
 
@@ -325,22 +324,23 @@ def catalog_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return policy.catalog_rollup(slugged(spark, sf_dir)).select("kind", "module_count", joined("ids"))
 
 
-@query("""SELECT name FROM (SELECT n_name AS name FROM nation UNION SELECT replace(r_name, ' ', '_') FROM region) WHERE name NOT IN (SELECT 'NATION_' || c_nationkey FROM customer WHERE c_nationkey < 20)""")
+@query("""SELECT name FROM (SELECT n_name AS name FROM nation UNION SELECT replace(r_name, ' ', '_') FROM region) WHERE name NOT IN (SELECT CASE WHEN c_nationkey < 20 THEN 'NATION_' ELSE 'OTHER_' END || c_nationkey FROM customer)""")
 def missing_requested(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")).union(table(spark, sf_dir, "region").select(F.translate("r_name", " ", "_")))
-    found = table(spark, sf_dir, "customer").where("c_nationkey < 20").select(F.concat(F.lit("NATION_"), "c_nationkey").alias("name"))
+    found = table(spark, sf_dir, "customer").select(F.concat(F.when(F.col("c_nationkey") < 20, "NATION_").otherwise("OTHER_"), "c_nationkey").alias("name"))
     return policy.missing_names(asked, found)
 
 
-@query("""WITH listed AS (SELECT 'd/' || doc_id AS path, sha256(text) AS sha FROM documents WHERE doc_id % 10 <> 3),
-tree AS (SELECT 'd/' || doc_id AS path, sha256(CASE WHEN doc_id % 10 = 5 THEN text || ' ' ELSE text END) AS sha FROM documents WHERE doc_id % 10 <> 7)
+@query("""WITH listed AS (SELECT CASE WHEN doc_id % 10 = 3 THEN 'l/' ELSE 'd/' END || doc_id AS path, sha256(text) AS sha FROM documents),
+tree AS (SELECT CASE WHEN doc_id % 10 = 7 THEN 't/' ELSE 'd/' END || doc_id AS path, sha256(CASE WHEN doc_id % 10 = 5 THEN text || ' ' ELSE text END) AS sha FROM documents)
 SELECT path, CASE WHEN tree.sha IS NULL THEN 'missing' WHEN listed.sha IS NULL THEN 'extra' ELSE 'mismatch' END AS fault
 FROM listed FULL JOIN tree USING (path) WHERE listed.sha IS DISTINCT FROM tree.sha""")
 def manifest_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents on both sides; some are listed or filed under other names, some differ."""
     docs, n = table(spark, sf_dir, "documents"), F.col("doc_id")
-    path = F.concat(F.lit("d/"), n)
-    listed = docs.where(n % 10 != 3).select(path.alias("path"), F.sha2("text", 256).alias("sha256"))
-    tree = docs.where(n % 10 != 7).select(path.alias("path"), F.sha2(F.when(n % 10 == 5, F.concat("text", F.lit(" "))).otherwise(F.col("text")), 256).alias("sha256"))
+    path = lambda odd, name: F.concat(F.when(n % 10 == odd, name).otherwise("d/"), n).alias("path")
+    listed = docs.select(path(3, "l/"), F.sha2("text", 256).alias("sha256"))
+    tree = docs.select(path(7, "t/"), F.sha2(F.when(n % 10 == 5, F.concat("text", F.lit(" "))).otherwise(F.col("text")), 256).alias("sha256"))
     return checks.manifest_faults(listed, tree)
 
 
@@ -388,3 +388,104 @@ def artifact_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     begins = whole.select("artifact_id", F.lit("regular").alias("file_type"), F.when(n == 3, size + 1).otherwise(size).alias("size_expected"))
     ends = whole.select("artifact_id", F.when(n == 1, size + 1).otherwise(size).alias("size"), F.when(n == 2, F.sha2(F.lit("x"), 256)).otherwise(F.sha2("data", 256)).alias("sha256"))
     return checks.artifact_faults(begins, chunks, ends)
+
+
+@query(r"""SELECT p_partkey, lower(trim(regexp_replace('  ' || p_brand || chr(9) || ' ' || p_type || chr(10), '\s+', ' ', 'g'))) AS license FROM part""")
+def license_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brand and type as a licence's name, blanks around and between them."""
+    said = F.concat(F.lit("  "), "p_brand", F.lit("\t "), "p_type", F.lit("\n"))
+    return table(spark, sf_dir, "part").select("p_partkey", license_text(said).alias("license"))
+
+
+KINDS = """m AS (SELECT p_partkey, p_name AS name,
+  CASE p_type WHEN 'ECONOMY' THEN 'rawcom' WHEN 'PROMO' THEN 'zld' WHEN 'MEDIUM' THEN 'rawfiles' WHEN 'LARGE' THEN 'rawtext' WHEN 'STANDARD' THEN 'rawld4' ELSE 'zcom4' END AS driver, p_size % 2 = 0 AS comment FROM part),
+kinds AS (SELECT *, CASE WHEN driver IN ('rawcom', 'zcom4') OR driver = 'rawfiles' AND comment THEN 'commentaries' WHEN driver IN ('zld', 'rawld4', 'rawfiles') THEN 'dictionaries' END AS kind FROM m)"""
+
+
+@query(f"WITH {KINDS} SELECT p_partkey, p_type AS name, kind FROM kinds JOIN part USING (p_partkey) WHERE kind = 'dictionaries' AND p_type IN ('PROMO', 'STANDARD')")
+def selected_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = policy.select_modules(part_modules(spark, sf_dir).withColumn("name", F.col("type")), "dictionaries", ["Promo", "standard"])
+    return found.select("p_partkey", "name", "kind")
+
+
+@query(f"""WITH {KINDS} SELECT p_partkey, name, kind FROM kinds WHERE (p_partkey % 3 = 0) <> (kind = 'dictionaries') AND kind IS NOT NULL""")
+def misclassified_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streams that call every third module a dictionary, and all others commentaries."""
+    modules = part_modules(spark, sf_dir).where("kind is not null").withColumn("title", F.col("name")).withColumn("name", F.col("p_partkey").cast("string"))
+    streams = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("name"), F.when(F.col("p_partkey") % 3 == 0, "dictionary").otherwise("commentary").alias("classification"))
+    names = modules.select(F.col("name"), "p_partkey", "title")
+    return policy.misclassified(modules, streams).join(names, "name").select("p_partkey", F.col("title").alias("name"), "kind")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'build' ELSE 'schema' END AS slug FROM part WHERE p_partkey % 7 = 0 OR p_size = 9""")
+def reserved_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of which some are named like the folders that no module may take."""
+    part = table(spark, sf_dir, "part")
+    name = F.when(F.col("p_partkey") % 7 == 0, "Build.").when(F.col("p_size") == 9, " SCHEMA ").otherwise(F.col("p_name"))
+    return policy.reserved_names(part.select("p_partkey", slug_col(name).alias("slug")))
+
+
+@query("SELECT p_partkey, p_brand AS value, 'KJV' AS versification FROM part")
+def last_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field's last value, and the default of one that isn't there."""
+    part = table(spark, sf_dir, "part").withColumn("fields", F.create_map(F.lit("description"), F.array("p_name", F.concat(F.lit(" "), "p_brand", F.lit(" ")))))
+    return part.select("p_partkey", policy.last_value(F.col("fields"), "description").alias("value"), policy.last_value(F.col("fields"), "versification", "KJV").alias("versification"))
+
+
+@query("""WITH v AS (SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN 'John.3.16' END AS osis, p_partkey % 3 AS half, p_size AS place FROM part)
+SELECT p_partkey, CASE WHEN osis IS NOT NULL THEN 43 WHEN half = 1 AND place BETWEEN 1 AND 39 THEN place WHEN half = 2 AND place BETWEEN 1 AND 27 THEN place + 39 END AS book FROM v""")
+def book_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("p_partkey")
+    verse = F.struct(F.when(n % 10 == 0, "John.3.16").alias("osis"), (n % 3).alias("testament"), F.col("p_size").alias("book"))
+    return table(spark, sf_dir, "part").select("p_partkey", coordinates(verse).cast("long").alias("book"))
+
+
+@query("""WITH e AS (SELECT p_brand AS module, p_partkey, CASE p_partkey % 3 WHEN 1 THEN CASE WHEN p_size <= 39 THEN p_size END WHEN 2 THEN CASE WHEN p_size <= 27 THEN p_size + 39 END END AS book,
+  p_partkey % 4 - 1 AS chapter, p_partkey % 11 AS verse, p_name AS text, 'Gen.' || p_size || '.' || (p_partkey % 5 + 1) AS ref FROM part)
+SELECT module, CAST(book AS BIGINT) AS book, CAST(chapter AS BIGINT) AS chapter, CAST(min(verse) AS BIGINT) AS verse, text, array_to_string(list_sort(list(DISTINCT ref)), ',') AS refs, count(*) AS copies
+FROM e WHERE book IS NOT NULL AND chapter >= 0 AND text <> '' GROUP BY module, book, chapter, text""")
+def commentary_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as entries of commentaries: the brand is the module, the size the book; entries of a chapter with one text
+    become one, which has the references of all."""
+    n = F.col("p_partkey")
+    verse = F.struct(F.lit(None).cast("string").alias("osis"), (n % 3).cast("int").alias("testament"), F.col("p_size").cast("int").alias("book"), (n % 4 - 1).cast("int").alias("chapter"), (n % 11).cast("int").alias("verse"))
+    raw = F.concat(F.lit("see Gen."), "p_size", F.lit("."), n % 5 + 1)
+    entries = table(spark, sf_dir, "part").select(F.col("p_brand").alias("module"), n.alias("ordinal"), F.lit("").alias("key"), raw.alias("raw"), F.lit("<p>no</p>").alias("html"), F.col("p_name").alias("plain"), verse.alias("verse"))
+    found = commentary.commentary_entries(commentary.commentary_rows(entries))
+    refs = F.array_join(F.array_sort(F.transform("references", lambda x: x["osis"])), ",").alias("refs")
+    return found.select("module", *[F.col(x).cast("long").alias(x) for x in ("book", "chapter", "verse")], "text", refs, "copies")
+
+
+@query(f"WITH {LINES} SELECT doc_id, text, count(*) AS times FROM lines GROUP BY doc_id, text HAVING count(*) > 1")
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.repeated_texts(numbered_lines(spark, sf_dir), ["doc_id"]).select("doc_id", "text", "times")
+
+
+@query(f"{COLLAPSED} SELECT doc_id, verse FROM collapsed WHERE len(covered) > 1 AND doc_id % 3 = 0")
+def false_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third document's collapsed lines with an anchor one too high."""
+    found = collapse.collapse(numbered_lines(spark, sf_dir), ["doc_id"], order="verse").withColumn("right", F.col("verse"))
+    spoiled = found.withColumn("verse", F.col("verse") + F.when(F.col("doc_id") % 3 == 0, 1).otherwise(0))
+    return validate.false_anchors(spoiled).select("doc_id", F.col("right").alias("verse"))
+
+
+@query(f"{EDGES} SELECT src, dst FROM edges WHERE length(src) % 2 = 0")
+def one_way_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links both ways; sources with ids of even length are lacking from the lists back."""
+    edges = page_edges(spark, sf_dir)
+    back = lexicon.neighbours(edges, forward=False).withColumn("ids", F.filter("ids", lambda x: F.length(x) % 2 == 1))
+    return validate.one_way_links(lexicon.neighbours(edges), back).select("src", "dst")
+
+
+@query("""SELECT 'd/' || doc_id || '.json' AS path, CAST(octet_length(encode(text)) AS BIGINT) AS size FROM documents WHERE octet_length(encode(text)) > 4096""")
+def oversized_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d/"), "doc_id", F.lit(".json")).alias("path"), collapse.utf8_bytes().alias("size"))
+    return publish.oversized(docs, 4096)
+
+
+@query("SELECT DISTINCT conv_id FROM conversations WHERE conv_id % 5 = 0")
+def composition_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations against their turns, some of which were changed."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.concat_ws(":", "turn", "role", "text").alias("entry"))
+    whole = turns.withColumn("entry", F.when(F.col("conv_id") % 5 == 0, F.concat("entry", F.lit("."))).otherwise(F.col("entry")))
+    return validate.composition_faults(turns, whole, ["conv_id"]).select("conv_id")
