@@ -10,8 +10,8 @@ from lectern.llm.common import BLANKS, bytes_of, map_arrow, read, written
 
 #: Weights of the sources by code point, repeating; share of all words that the mix takes; most of a source, in its sizes.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
-#: Documents in a bucket of keys, about.
-BUCKET = 512
+#: Documents in a bucket of keys, about, and buckets that are summed up together first.
+BUCKET, SPAN = 512, 1024
 #: ASCII that is no letter.
 PLAIN = bytes(x for x in range(128) if not chr(x).isalpha())
 
@@ -77,21 +77,36 @@ def bucket() -> Column:
     return F.least(many - 1, F.floor((1 - F.exp(-F.col("mix_key"))) * many)).cast("long")
 
 
+def first_beyond(sums: DataFrame, part: str) -> DataFrame:
+    """For each source the part in which its running sum of words reaches the budget, and the words before that part.
+    ``sums``: mix_source, the part, words, start (what comes before all of these) and budget; few rows a source."""
+    running = F.col("start") + F.sum("words").over(Window.partitionBy("mix_source").orderBy(part))
+    reached = sums.withColumn("end", running).where((F.col("budget") > 0) & (F.col("end") >= F.col("budget")))
+    edge = F.min_by(F.struct(F.col(part).alias("edge"), (F.col("end") - F.col("words")).alias("start")), part)
+    return reached.groupBy("mix_source").agg(edge.alias("edge")).select("mix_source", "edge.*")
+
+
 def plan(rows: DataFrame, seed: int, weights: tuple[int, ...], share: float, most: float) -> DataFrame:
-    """A row a source: its target, epochs, and where its fractional epoch ends (edge bucket, last key in it)."""
+    """A row a source: its target, epochs, and where its fractional epoch ends: the edge bucket, the last key taken in it,
+    and the share of the rows with that key (rows that repeat have one) that the budget still holds.
+
+    Words are summed up for spans of buckets, then for the buckets of one span a source, then for the keys of one bucket.
+    """
     sources = written(targets(rows.groupBy("mix_source").agg(F.count("*").alias("n"), F.sum("mix_size").alias("source_size")), weights, share, most), "sources")
     dealt = keyed(rows, seed).join(sources, "mix_source").withColumn("bucket", bucket())
-    filled = dealt.groupBy("mix_source", "bucket").agg(F.sum("mix_size").alias("words"), F.first("budget").alias("budget"))
-    running = F.sum("words").over(Window.partitionBy("mix_source").orderBy("bucket"))
-    edges = (
-        filled.withColumn("end", running).where((F.col("budget") > 0) & (F.col("end") >= F.col("budget")))
-        .groupBy("mix_source").agg(F.min_by(F.struct("bucket", (F.col("end") - F.col("words")).alias("start")), "bucket").alias("edge"))
-        .select("mix_source", F.col("edge.bucket").alias("edge"), F.col("edge.start").alias("start"))
-    )
-    edges = written(edges, "edges")
-    last = dealt.join(edges.withColumnRenamed("edge", "bucket"), ["mix_source", "bucket"])
-    reach = F.col("start") + F.sum("mix_size").over(Window.partitionBy("mix_source", "bucket").orderBy("mix_key").rowsBetween(Window.unboundedPreceding, 0))
-    ends = last.withColumn("reach", reach).where(F.col("reach") - F.col("mix_size") / 2 <= F.col("budget")).groupBy("mix_source").agg(F.max("mix_key").alias("last_key"))
+    filled = written(dealt.groupBy("mix_source", "bucket").agg(F.sum("mix_size").alias("words"), F.first("budget").alias("budget")), "buckets")
+    filled = filled.withColumn("span", F.floor(F.col("bucket") / SPAN))
+    spans = filled.groupBy("mix_source", "span").agg(F.sum("words").alias("words"), F.first("budget").alias("budget"))
+    spans = written(first_beyond(spans.withColumn("start", F.lit(0)), "span").withColumnRenamed("edge", "span"), "spans")
+    edges = written(first_beyond(filled.join(spans, ["mix_source", "span"]), "bucket"), "edges")
+    keys = dealt.join(edges.withColumnRenamed("edge", "bucket"), ["mix_source", "bucket"])
+    keys = keys.groupBy("mix_source", "bucket", "start", "budget", "mix_key").agg(F.sum("mix_size").alias("words"), F.count("*").alias("many"))
+    before = F.col("start") + F.sum("words").over(Window.partitionBy("mix_source", "bucket").orderBy("mix_key").rowsBetween(Window.unboundedPreceding, 0)) - F.col("words")
+    # Of rows with one key, as many as bring the sum of words nearest to the budget.
+    room = F.col("budget") - F.col("before")
+    held = F.when(F.col("words") == 0, F.when(room >= 0, 1.0).otherwise(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.floor(room * F.col("many") / F.col("words") + 0.5), F.col("many"))) / F.col("many"))
+    ends = keys.withColumn("before", before).withColumn("held", held).where("held > 0").groupBy("mix_source").agg(F.max(F.struct("mix_key", "held")).alias("last"))
+    ends = ends.select("mix_source", F.col("last.mix_key").alias("last_key"), F.col("last.held").alias("held"))
     return written(sources.join(edges.select("mix_source", "edge"), "mix_source", "left").join(ends, "mix_source", "left"), "plan")
 
 
@@ -101,19 +116,26 @@ def mix(docs: DataFrame, seed: int = 42, weights: tuple[int, ...] = WEIGHTS, sha
     Needs doc_id, text and source. Sizes are words; sources (null is one, the last) weigh 5, 2, 1, repeating, by code
     point. A source is taken whole as often as its target holds it; what is left goes to documents in the order of
     their exponential keys, as far as the prefix sum of words comes nearest to the budget. Keys come from a seed,
-    doc_id and text, so reruns agree, and rows that repeat share one fate. A null text has size 0; documents of a
-    source without words aren't taken. An empty table gives an empty result.
+    doc_id and text, so reruns agree. Rows equal in both share a key; where the budget ends among them, that share of
+    them is taken which it still holds, chosen by their places in the input. A null text has size 0; documents of a
+    source without words aren't taken. All other columns stay as they are, whatever their names; columns named like the
+    four added ones are replaced. An empty table gives an empty result.
 
-    Keys fall in buckets of some hundred documents; only sums of buckets and the rows of one bucket a source are
+    Keys fall in buckets of some hundred documents; only sums of buckets and the keys of one bucket a source are
     ordered, so no task sees a whole source. The plan has one row a source.
     """
-    rows = measured(docs.withColumn("mix_mark", F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))))
-    narrow = written(rows.select("doc_id", "mix_mark", "mix_size", "mix_quality", source_key()), "sizes")
+    added = ("mix_size", "mix_source_size", "mix_target", "mix_repeats")
+    record = F.struct(*[F.col(f"`{x}`") for x in docs.columns if x not in added]).alias("record")
+    mark = F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("mix_mark")
+    rows = measured(docs.select(record, "doc_id", F.col("text").cast("string").alias("text"), source_key(), mark, F.monotonically_increasing_id().alias("place"))).drop("text")
+    narrow = written(rows.select("doc_id", "mix_mark", "mix_size", "mix_quality", "mix_source"), "sizes")
     made = plan(narrow, seed, weights, share, most)
-    takes = (F.col("bucket") < F.col("edge")) | ((F.col("bucket") == F.col("edge")) & (F.col("mix_key") <= F.col("last_key")))
-    found = keyed(rows.withColumn("mix_source", source_key()), seed).join(made, "mix_source").withColumn("bucket", bucket())
+    unit = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "place"), 11).cast("double") / F.lit(float(1 << 53))
+    last = (F.col("mix_key") < F.col("last_key")) | ((F.col("mix_key") == F.col("last_key")) & (unit < F.col("held")))
+    takes = (F.col("bucket") < F.col("edge")) | ((F.col("bucket") == F.col("edge")) & last)
+    found = keyed(rows, seed).join(made, "mix_source").withColumn("bucket", bucket())
     repeats = F.col("epochs") + F.coalesce(takes, F.lit(False)).cast("long")
-    return found.select(*docs.columns, "mix_size", F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), repeats.alias("mix_repeats"))
+    return found.select("record.*", "mix_size", F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), repeats.alias("mix_repeats"))
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,6 +95,20 @@ def test_mixing_odd(odd, none):
     assert found[0].size == "x"
 
 
+def test_mixing_keeps_columns_and_splits_repeated_rows(spark):
+    """Columns named like the mix's own stay; of many equal rows only as many are taken as the target holds."""
+    rows = [(1, "one two three four five", "a", 7, 8, "b", 0.5, "p")] * 5000 + [(2, "six seven", "a", 7, 8, "b", 0.5, "p"), (3, "x " * 40000, "b", 7, 8, "b", 0.5, "p"), (4, "y " * 90000, "c", 7, 8, "b", 0.5, "p")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, n int, target int, bucket string, mix_key double, place string")
+    found = mixing.mix(frame)
+    assert found.columns == [*frame.columns, "mix_size", "mix_source_size", "mix_target", "mix_repeats"]
+    back = found.collect()
+    assert sorted(tuple(x)[:8] for x in back) == sorted(rows)
+    taken = sum(x.mix_size * x.mix_repeats for x in back if x.source == "a")
+    target = next(x.mix_target for x in back if x.source == "a")
+    assert abs(taken - target) <= 0.05 * target and max(x.mix_repeats for x in back) <= 2
+    assert sorted(map(tuple, mixing.mix(frame).collect())) == sorted(map(tuple, back))
+
+
 # token counts
 
 
