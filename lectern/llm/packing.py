@@ -23,6 +23,8 @@ ROOM, END = 4096, 1
 CELL, ISLANDS = 768, 4
 #: Rounds between which the best of each island moves on; packings of an island and generations of a round.
 ROUNDS, POPULATION, GENERATIONS = 2, 20, 20
+#: Tasks that cells or islands are dealt to, at most.
+TASKS = 1 << 12
 #: Chunks of text whose ids a worker keeps before it starts anew.
 CACHED = 1 << 20
 
@@ -237,11 +239,15 @@ def islands(items: DataFrame, seed: int, room: int = ROOM) -> DataFrame:
     evolves each island by itself; then its best packing stays there and goes on to the next island as well, and the next
     round starts from both.
     """
-    start = written(items.groupBy("cell").applyInPandas(_first(room), "uid long, cell long, length long, own int, least boolean"), "first")
+    # A cell's work is in its pieces, not in their few bytes, so the number of tasks is given, not left to sizes.
+    tasks = lambda cells, each: max(1, min(cells * each, TASKS))
+    cells = int(items.agg(F.coalesce(F.max("cell"), F.lit(0))).first()[0]) + 1
+    start = written(items.repartition(tasks(cells, 1), "cell").groupBy("cell").applyInPandas(_first(room), "uid long, cell long, length long, own int, least boolean"), "first")
     every = F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island")
     live = start.where("not least").select("uid", "cell", "length", every, "own", F.lit(-1).alias("guest"))
+    hard = start.where("not least").select("cell").distinct().count()
     for turn in range(ROUNDS):
-        live = live.groupBy("cell", "island").applyInPandas(_round(seed, turn, room), live.schema)
+        live = live.repartition(tasks(hard, ISLANDS), "cell", "island").groupBy("cell", "island").applyInPandas(_round(seed, turn, room), live.schema)
         if turn < ROUNDS - 1:
             live = written(live, "islands")
             # Migration: a row of each piece goes to its island and one to the next; there they meet as own and guest.
