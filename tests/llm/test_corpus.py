@@ -359,7 +359,7 @@ def test_edits_of_long_lines():
             y[at : at + rng.integers(0, 2)] = list(rng.choice(list("abcdé漢 "), rng.integers(0, 2)))
         x, y = sorted((x, "".join(y) or "a"), key=len)
         exact = edits(x, y)
-        assert [lines.few(x, y, max(0, exact + k)) for k in (-1, 0, 1)] == [exact == 0, True, True]
+        assert [lines.few(x, y, max(0, exact + k)) <= max(0, exact + k) for k in (-1, 0, 1)] == [exact == 0, True, True]
         assert lines.script_edits(x.split(" "), y.split(" "), 1000) >= exact
 
 
