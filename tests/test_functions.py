@@ -14,6 +14,9 @@ def test_markup():
     assert text.strip_markup("<p>a<script>no</script>b</p>c&amp;d<br/>e<!-- x -->") == "\nab\nc&d\ne"
     assert text.strip_markup("<style>x<b>y</b></style>z") == "z"
     assert text.strip_markup("<title>t</title>") == "t"
+    assert text.strip_markup('a<a href="x>y">b</a> 1 < 2 <script/>c<!doctype html><?pi?>') == "ab 1 < 2 c"
+    assert text.strip_markup("a<script>b</p>") == "a" and text.strip_markup("a<!-- b <p>") == "a<!-- b <p>"
+    assert text.strip_markup("x</ y>z<BR>&#65;</SCRIPT>") == "xz\nA"
 
 
 @pytest.mark.parametrize(("given", "wanted"), [(" a \u00a0", "a"), ("a \x0bb\u2028c ", "a\nb\nc"), ("x\0y", "xy"), ("&eacute; ", "é"), ("", "")])
