@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import language, lines, mixing, packing, quality, shards, simhash, tokens, topk, warc
+from lectern.llm import dedup, divergence, language, lines, mixing, packing, quality, shards, simhash, tokens, topk, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1,
@@ -19,9 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": language.op8,
     "op9_exact_top_k": topk.op9,
     "op10_simhash_near_dedup": simhash.op10,
+    "op11_embedding_whitening": whitening.op11,
+    "op12_source_divergence": divergence.op12,
+    "op13_exact_dedup": dedup.op13,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": mixing.ORACLE,
     "op6_warc": warc.ORACLE,
     "op9_exact_top_k": topk.ORACLE,
+    "op12_source_divergence": divergence.ORACLE,
+    "op13_exact_dedup": dedup.ORACLE,
 }
