@@ -9,11 +9,9 @@ import re
 import unicodedata
 from collections.abc import Callable
 from html import unescape
-from itertools import filterfalse
 from urllib.parse import unquote
 
 import pandas as pd
-import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -24,15 +22,14 @@ BREAKING = ("blockquote", "br", "dd", "div", "dt", "h1", "h2", "h3", "h4", "h5",
 
 #: What is no text: a comment, a declaration or instruction, an end that names nothing, or a tag with its attributes.
 _MARKUP = re.compile(
-    r"""<!--.*?--!?> | (?P<rest><!--.*) | <(?!!--)[!?][^>]*> | </(?:>|[^A-Za-z>][^>]*>)
+    r"""<!--.*?--\s*> | (?P<open><!--[^>]*>?) | <(?!!--)[!?][^>]*> | </(?:>|[^A-Za-z>][^>]*>)
       | <(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*) (?:[^>"'=] | =\s*(?:"[^"]*"|'[^']*')? | ["'])*+ >""",
     re.DOTALL | re.VERBOSE,
 )
 _ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE) for name in DROPPED}
 #: Where lines end, in any script.
 _LINE_END = re.compile(r"\r\n|[\n\r\v\f\x1c-\x1e\x85\u2028\u2029]")
-_TERM = regex.compile(r"[\w\-]+")
-_PART = regex.compile(r"[a-z0-9._\-]+")
+_PART = re.compile(r"[a-z0-9._\-]+")
 
 
 def strip_markup(text: str) -> str:
@@ -46,8 +43,8 @@ def strip_markup(text: str) -> str:
     while tag := _MARKUP.search(text, at):
         shown.append(unescape(text[at : tag.start()]))
         at, name = tag.end(), (tag["name"] or "").lower()
-        if tag["rest"]:  # a comment without an end is none
-            shown.append(unescape(tag["rest"]))
+        if tag["open"]:  # a comment without an end is none, and shown as far as a tag would go
+            shown.append(unescape(tag["open"]))
         elif name in BREAKING:
             shown.append("\n")
         elif name in DROPPED and not tag["end"] and not tag[0].endswith("/>"):
@@ -70,7 +67,7 @@ def shown_text(markup: str) -> str:
 
 def public_text(plain: str | None, markup: str | None) -> str:
     """The plain projection, cleaned; where that is empty, what the markup shows."""
-    return next(filter(None, (fn(x) for fn, x in ((clean_text, plain), (shown_text, markup)) if x)), "")
+    return clean_text(plain or "") or shown_text(markup or "")
 
 
 def fold(text: str) -> str:
@@ -83,10 +80,15 @@ def squeeze(text: str) -> str:
 
 
 def search_fold(key: str) -> str:
-    """A key as searched for: its terms (runs of word characters and hyphens), decomposed, without combining marks and
-    folded, a space between two; the folded key if there is none."""
-    bare = "".join(filterfalse(unicodedata.combining, unicodedata.normalize("NFKD", key)))
-    return " ".join(_TERM.findall(fold(bare))) or fold(key)
+    """A key as searched for: decomposed, folded, without characters of a combining class. What is no letter, number, low line
+    or hyphen parts words, marks of class 0 (vowel signs of Indic scripts) too; the folded key if no word is left.
+    """
+    bare = "".join(c for c in unicodedata.normalize("NFKD", key) if unicodedata.combining(c) == 0)
+    return squeeze("".join(c if c.isalnum() or c in "_-" else " " for c in fold(bare))) or fold(key)
+
+
+def strip(text: str) -> str:
+    return text.strip()
 
 
 def percent_decode(text: str) -> str:
@@ -122,6 +124,7 @@ def _ascii_first(fn: Callable[[Column], Column], native: Callable[[Column], Colu
 
 fold_col = _ascii_first(_column(fold), F.lower)
 squeeze_col = _column(squeeze)
+strip_col = _column(strip)
 search_fold_col = _column(search_fold)
 percent_decode_col = _column(percent_decode)
 slug_col = _column(slug)

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.refs import BOOKS, reference_tokens, resolve_tokens
-from lectern.functions.text import public_text_col
 from lectern.operators.policy import last_value
 from lectern.operators.publish import render, write_composed
 
@@ -66,15 +65,15 @@ def composed_commentaries(chapters: DataFrame, modules: DataFrame) -> DataFrame:
 
 
 def entry_documents(entries: DataFrame, forward: DataFrame, backward: DataFrame, modules: DataFrame) -> DataFrame:
-    """(module, entry, path, document): a dictionary's entries with links both ways. ``entries``: named and searchable, with
-    raw, html and plain; ``forward``, ``backward``: module, id, ids."""
+    """(module, entry, path, document): a dictionary's entries with links both ways. ``entries``: publishable, named and
+    searchable, with raw, html and text; ``forward``, ``backward``: module, id, ids."""
     keys = entries.select("module", F.col("id").alias("other"), F.col("key").alias("other_key"))
 
     def linked(links: DataFrame, name: str) -> DataFrame:
         each = links.select("module", "id", F.explode("ids").alias("other")).join(keys, ["module", "other"])
         return each.groupBy("module", "id").agg(F.array_sort(F.collect_list(F.struct(F.col("other").alias("id"), F.col("other_key").alias("key")))).alias(name))
 
-    rows = entries.withColumn("text", public_text_col("plain", "html")).withColumn("refs", resolve_tokens(reference_tokens("raw", "html"))).where("text <> ''")
+    rows = entries.withColumn("refs", resolve_tokens(reference_tokens("raw", "html")))
     rows = rows.join(linked(forward, "see_also"), ["module", "id"], "left").join(linked(backward, "backlinks"), ["module", "id"], "left")
     rows = rows.join(modules.select("module", F.col("id").alias("dictionary"), "language"), "module")
     document = named(

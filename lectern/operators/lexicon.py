@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.ids import aliases, canonical_number, clean_target, encoded_id, hashed_id, link_candidates
-from lectern.functions.text import fold_col, search_fold_col
+from lectern.functions.text import fold_col, public_text_col, search_fold_col, strip_col
+from lectern.sources.shared import scratch, written
 
 
 def base_ids(entries: DataFrame, prefix: str | None = None) -> DataFrame:
@@ -18,60 +16,81 @@ def base_ids(entries: DataFrame, prefix: str | None = None) -> DataFrame:
     return entries.withColumn("canonical", canonical).withColumn("base", F.coalesce("canonical", encoded_id(F.col("key"))))
 
 
+#: What a numbered id ends with.
+NUMBER = "--[0-9]+$"
+
+
+def publishable(entries: DataFrame) -> DataFrame:
+    """Entries with a key and a text, before they get ids, so that no other claims an id, alias or link: key is stripped, and
+    text is the public one. ``entries``: key, plain and html; a null key is none."""
+    rows = entries.withColumn("key", strip_col("key")).withColumn("text", public_text_col("plain", "html"))
+    return rows.where("key <> '' and text <> ''")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Adds name, the id without a number, occurrence and claim, the folded id. ``rows``: diverted says who is named by its hash."""
+    name, folded = F.when(F.col("diverted"), F.col("hash")), F.when(F.col("diverted"), F.col("hash")).otherwise(F.col("folded"))
+    rows = rows.withColumn("name", F.coalesce(name, "base")).withColumn("mark", folded)
+    rows = rows.withColumn("occurrence", F.row_number().over(Window.partitionBy("module", "mark").orderBy("ordinal")).cast("long"))
+    number = F.when(F.col("occurrence") > 1, F.concat(F.lit("--"), F.col("occurrence"))).otherwise("")
+    return rows.withColumn("claim", F.concat("mark", number)).withColumn("id", F.concat("name", number)).drop("mark", "name")
+
+
+def _claimed(rows: DataFrame) -> DataFrame:
+    """Adds next: whether, as ids are now, another key has claimed a row's folded base before it. Bases without a number are settled."""
+    owners = _numbered(rows).groupBy("module", F.col("claim").alias("folded")).agg(F.min(F.struct("ordinal", "key")).alias("owner"))
+    taken = (F.col("owner.ordinal") < F.col("ordinal")) & (F.col("owner.key") != F.col("key"))
+    next_ = F.when(F.col("folded").rlike(NUMBER), F.coalesce(taken, F.lit(False))).otherwise(F.col("diverted"))
+    return rows.join(owners, ["module", "folded"], "left").withColumn("next", next_).drop("owner")
+
+
+def _settled(rows: DataFrame) -> DataFrame:
+    """(module, ordinal, settled): who is named by its hash, of rows whose bases look like numbered ids.
+
+    Whether a base is taken depends on earlier rows only, so passes over all rows at once agree with the rule that goes from row to
+    row as soon as one changes nothing: the first pass is right about first rows, each further one about those that depend on
+    them. Rows whose base has no number are settled before; only families (bases without their numbers) that hold such a
+    base, and keys whose hash may be numbered so, take part. Two rows that end with one id are an error.
+    """
+    odd = rows.where(F.col("folded").rlike(NUMBER))
+    family = lambda x: F.regexp_replace(x, "(--[0-9]+)+$", "")
+    families = odd.select("module", family(F.col("folded")).alias("family")).distinct()
+    either = rows.withColumn("family", F.explode(F.array_distinct(F.array(family(F.col("folded")), F.col("hash"))))).join(families, ["module", "family"], "left_semi")
+    now = written(either.drop("family").dropDuplicates(["module", "ordinal"]), "claims")
+    while True:
+        now = written(_claimed(now), "claims")
+        if now.where("next <> diverted").isEmpty():
+            break
+        now = now.withColumn("diverted", F.col("next")).drop("next")
+    twice = _numbered(now).groupBy("module", "id").agg(F.count("*").alias("n")).where("n > 1").first()
+    if twice:
+        raise ValueError(f"two entries of module {twice.module} would both be {twice.id}")
+    return now.where(F.col("folded").rlike(NUMBER)).select("module", "ordinal", F.col("diverted").alias("settled"))
+
+
 def assign_ids(entries: DataFrame, ascii_only: bool = False) -> DataFrame:
-    """Adds id and occurrence. ``entries``: module, ordinal (unique in its module), key, base; further columns are joined
-    to the ids afterwards.
+    """Adds id and occurrence. ``entries``: module, ordinal (unique in its module), key, base, perhaps canonical; further
+    columns are joined to the ids afterwards, from ``entries`` again.
 
     The first key to claim a folded base keeps it; another key with that base is named by its hash. Later entries
-    of the same name are numbered by their order, and the number is part of the id from the second on. Two
-    windows do this wherever no base looks like a numbered id. Bases that do, and those that they would number, go
-    through the same rule one entry after another, each such family alone; only where a key has several bases in a
-    module that has such families, so that its hash may name entries of two, is the module one family.
+    of the same name are numbered by their order, and the number is part of the id from the second on, claimed like any
+    other. Two windows do this; bases that look like numbered ids are settled by passes of the same windows (``_settled``).
+    What ids need is written once and so are the ids: ``entries`` is read once for them.
     """
-    slim = entries.select("module", "ordinal", "key", "base")
-    folded = slim.withColumn("folded", fold_col("base", ascii_only=ascii_only)).withColumn("family", F.regexp_replace("folded", "(--[0-9]+)+$", ""))
-    numbered = folded.where(F.col("folded") != F.col("family")).select("module", "family").distinct()
-    several = folded.join(numbered.select("module").distinct(), "module", "left_semi").groupBy("module", "key").agg(F.count_distinct("folded").alias("n"))
-    whole = several.where("n > 1").select("module", F.lit(True).alias("whole")).distinct()
-    folded = folded.join(whole, "module", "left").withColumn("family", F.when(F.col("whole"), F.lit("")).otherwise(F.col("family"))).drop("whole")
-    numbered = numbered.union(whole.select("module", F.lit("").alias("family")))
-    plain, odd = folded.join(numbered, ["module", "family"], "left_anti"), folded.join(numbered, ["module", "family"], "left_semi")
-    claim = Window.partitionBy("module", "folded").orderBy("ordinal")
-    owned = plain.withColumn("final", F.when(F.first("key").over(claim) == F.col("key"), F.col("base")).otherwise(hashed_id(F.col("key"))))
-    owned = owned.withColumn("folded", fold_col("final", ascii_only=ascii_only))
-    turn = F.row_number().over(Window.partitionBy("module", "folded").orderBy("ordinal"))
-    counted = owned.withColumn("occurrence", turn.cast("long"))
-    done = counted.withColumn("id", F.when(F.col("occurrence") > 1, F.concat("final", F.lit("--"), "occurrence")).otherwise(F.col("final")))
-    names = [*slim.columns, "id", "occurrence"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*slim.schema.fields, odd.schema["family"]]) + ", id string, occurrence long"
-    found = done.select(*names).union(odd.drop("folded").groupBy("module", "family").applyInPandas(_one_by_one, schema).select(*names))
-    if not set(entries.columns) - set(slim.columns):
-        return found.select(*entries.columns, "id", "occurrence")
+    slim = entries.select(*[x for x in entries.columns if x in ("module", "ordinal", "key", "base", "canonical")])
+    rows = slim.withColumn("folded", fold_col("base", ascii_only=ascii_only)).withColumn("hash", hashed_id(F.col("key")))
+    rows = written(rows, "keys")
+    first = F.first("key").over(Window.partitionBy("module", "folded").orderBy("ordinal"))
+    rows = rows.withColumn("diverted", first != F.col("key"))
+    if not rows.where(F.col("folded").rlike(NUMBER)).isEmpty():
+        settled = F.coalesce("settled", "diverted")
+        rows = rows.join(_settled(rows), ["module", "ordinal"], "left").withColumn("diverted", settled).drop("settled")
+    found = written(_numbered(rows).select(*slim.columns, "id", "occurrence"), "ids")
+    if slim.columns == entries.columns:
+        return found
     return entries.join(found.select("module", "ordinal", "id", "occurrence"), ["module", "ordinal"]).select(*entries.columns, "id", "occurrence")
 
 
-def _one_by_one(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The rule in the order of entries, for a family of bases whose own ids may meet numbered ones. Two entries that end with
-    one id are an error rather than one silently replacing the other."""
-    pdf = pdf.sort_values("ordinal", ignore_index=True)
-    owner: dict[str, str] = {}
-    times: dict[str, int] = {}
-    ids, turns = [], []
-    for key, base in zip(pdf["key"], pdf["base"], strict=True):
-        name = base if owner.setdefault(base.casefold(), key) == key else "h-" + hashlib.sha256(key.encode()).hexdigest()
-        owner.setdefault(name.casefold(), key)
-        n = times[name.casefold()] = times.get(name.casefold(), 0) + 1
-        if n > 1:
-            name = f"{name}--{n}"
-            owner.setdefault(name.casefold(), key)
-        ids.append(name)
-        turns.append(n)
-    found = pdf.assign(id=ids, occurrence=turns)
-    if found["id"].duplicated().any():
-        raise ValueError(f"two entries of module {pdf['module'].iat[0]} would both be {found['id'][found['id'].duplicated()].iat[0]}")
-    return found
-
-
 def searchable(named: DataFrame) -> DataFrame:
     """Adds aliases and search, the key as it is searched for."""
     return named.withColumn("aliases", aliases(F.col("key"), F.col("canonical"))).withColumn("search", search_fold_col("key"))
@@ -88,7 +107,7 @@ def alias_index(named: DataFrame, ascii_only: bool = False) -> DataFrame:
 def link_edges(named: DataFrame, candidates: DataFrame, ascii_only: bool = False) -> DataFrame:
     """(module, src, dst), distinct, without loops. ``candidates``: module, id, target (raw). A target is looked up
     folded, and as a search form where that finds nothing."""
-    index = alias_index(named, ascii_only)
+    index = written(alias_index(named, ascii_only), "aliases")
     wanted = candidates.withColumn("target", clean_target(F.col("target"))).where("target is not null").distinct()
     wanted = wanted.withColumn("direct", fold_col("target", ascii_only=ascii_only)).withColumn("loose", fold_col(search_fold_col("target"), ascii_only=ascii_only))
     first = index.select("module", F.col("alias").alias("direct"), F.col("target").alias("dst1"))
@@ -98,8 +117,13 @@ def link_edges(named: DataFrame, candidates: DataFrame, ascii_only: bool = False
     return edges.where("dst is not null and src <> dst").distinct()
 
 
-def candidates_of(named: DataFrame, *texts: str) -> DataFrame:
-    return named.select("module", "id", F.explode(link_candidates(*map(F.col, texts))).alias("target"))
+def candidates_of(entries: DataFrame, *texts: str, ids: DataFrame | None = None) -> DataFrame:
+    """(module, id, target). ``entries`` has the texts; where ``ids`` (module, ordinal, id) is given, only the targets found
+    in them are joined to it, not the texts."""
+    target = F.explode(link_candidates(*map(F.col, texts))).alias("target")
+    if ids is None:
+        return entries.select("module", "id", target)
+    return entries.select("module", "ordinal", target).join(ids.select("module", "ordinal", "id"), ["module", "ordinal"]).select("module", "id", "target")
 
 
 def neighbours(edges: DataFrame, forward: bool = True) -> DataFrame:
@@ -108,25 +132,55 @@ def neighbours(edges: DataFrame, forward: bool = True) -> DataFrame:
     return edges.groupBy("module", F.col(me).alias("id")).agg(F.array_sort(F.collect_set(other)).alias("ids"))
 
 
-#: Leading characters of a search form by which an index is numbered in parts.
-LEAD = 4
+ORDER = ("module", "search", "folded", "occurrence", "ordinal")
+ROWS = "module string, id string, key string, search string, aliases array<string>, occurrence long, ordinal long, folded string, place long, part int"
+PARTS = "module string, part int, n long, low string, high string, start long"
 
 
-def search_index(named: DataFrame, ascii_only: bool = False) -> DataFrame:
-    """Slim records in index order: (search, folded key, occurrence, ordinal); rank counts from 1 in each module.
+def write_index(named: DataFrame, path: str, parts: int | None = None, ascii_only: bool = False) -> None:
+    """Writes the slim records of an index below ``path``, in order of search form, folded key, occurrence and ordinal.
 
-    Records are numbered among those that begin alike, and the counts of the beginnings before theirs are added: a
-    module's records needn't meet in one task. Code points and UTF-8 bytes sort alike, so beginnings sort as the whole.
+    Records are dealt by ranges of their whole order, so one hot beginning, or one hot term, spreads over as many parts as it
+    fills; each part is a folder, sorted, and a record knows its place in it. The table of parts (a row a part and module) has
+    its least and greatest search form and the number of the module's records before it: ranks are their sums, and no window
+    ever sees a module.
+    """
+    spark = named.sparkSession
+    slim = named.select("module", "id", "key", "search", "aliases", "occurrence", F.col("ordinal").cast("long").alias("ordinal"), fold_col("key", ascii_only=ascii_only).alias("folded"))
+    dealt = slim.repartitionByRange(parts or int(spark.conf.get("spark.sql.shuffle.partitions")), *ORDER)
+    placed = dealt.withColumn("part", F.spark_partition_id()).sortWithinPartitions("part", *ORDER)
+    placed.withColumn("place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).write.partitionBy("part").parquet(f"{path}/rows")
+    rows = spark.read.schema(ROWS).parquet(f"{path}/rows")
+    each = rows.groupBy("module", "part").agg(F.count("*").alias("n"), F.min("place").alias("first"), F.min("search").alias("low"), F.max("search").alias("high"))
+    before = F.sum("n").over(Window.partitionBy("module").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    each.withColumn("start", F.coalesce(before, F.lit(0)) - F.col("first")).drop("first").coalesce(1).write.parquet(f"{path}/parts")
+
+
+def read_index(spark: SparkSession, path: str, prefix: str | None = None, term: str | None = None) -> DataFrame:
+    """module, rank (from 1 in each module), id, key, search, and aliases and occurrence where they say something new.
+
+    With a ``prefix`` or a whole ``term``, only those records; the table of parts says which folders can hold them, and no
+    other is read. Parquet skips what else it can by the bounds of its row groups.
     """
-    rows = named.withColumn("lead", F.substring("search", 1, LEAD))
-    counts = rows.groupBy("module", "lead").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("module").orderBy("lead").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("module", "lead", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    order = Window.partitionBy("module", "lead").orderBy("search", fold_col("key", ascii_only=ascii_only), "occurrence", "ordinal")
-    placed = rows.withColumn("place", F.row_number().over(order)).join(starts, ["module", "lead"])
+    rows, parts = spark.read.schema(ROWS).parquet(f"{path}/rows"), spark.read.schema(PARTS).parquet(f"{path}/parts")
+    if term is not None:
+        rows, parts = rows.where(F.col("search") == term), parts.where((F.col("low") <= term) & (F.col("high") >= term))
+    if prefix:
+        rows, parts = rows.where(F.col("search").startswith(prefix)), parts.where((F.substring("low", 1, len(prefix)) <= prefix) & (F.col("high") >= prefix))
+    if prefix or term is not None:
+        held = [x.part for x in parts.select("part").distinct().collect()]  # as many numbers as there are parts, at most
+        rows = rows.where(F.col("part").isin(held)) if held else rows.limit(0)
+    rank = (F.col("start") + F.col("place") + 1).cast("long").alias("rank")
     slim = F.when(F.col("aliases") != F.array("key"), F.col("aliases"))
-    rank = (F.col("start") + F.col("place")).cast("long").alias("rank")
-    return placed.select("module", rank, "id", "key", "search", slim.alias("aliases"), F.when(F.col("occurrence") > 1, F.col("occurrence")).alias("occurrence"))
+    found = rows.join(parts.select("module", "part", "start"), ["module", "part"])
+    return found.select("module", rank, "id", "key", "search", slim.alias("aliases"), F.when(F.col("occurrence") > 1, F.col("occurrence")).alias("occurrence"))
+
+
+def search_index(named: DataFrame, ascii_only: bool = False) -> DataFrame:
+    """The index of ``named``, written below the shared folder and read from there."""
+    path = scratch(named.sparkSession, "index")
+    write_index(named, path, ascii_only=ascii_only)
+    return read_index(named.sparkSession, path)
 
 
 def unique_keys(named: DataFrame, ascii_only: bool = False) -> DataFrame:

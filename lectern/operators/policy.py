@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.functions.text import license_text
+from lectern.functions.text import fold_col, license_text
 
 # Drivers of either kind, and names that no module may take.
 COMMENTARY_DRIVERS = ("rawcom", "rawcom4", "zcom", "zcom4", "rawfiles")
@@ -31,12 +31,15 @@ def module_kind(driver: Column, category: Column, module_type: Column) -> Column
 def decide(modules: DataFrame, denied: DataFrame, approved: DataFrame, licenses: DataFrame, name: str = "name", license: str = "license_key") -> DataFrame:
     """Adds allowed and reason. A denial beats an approval, an approval beats the licence, and what nothing allows is out.
 
-    ``denied`` and ``approved``: name, why; ``licenses``: license. All three are short lists that people keep.
+    ``denied`` and ``approved``: name, why; ``licenses``: license. All three are short lists that people keep. Names are
+    compared folded on both sides; of several entries for one name, the greatest reason is told. A module without a licence
+    has none that could be approved.
     """
-    no = denied.select(F.col("name").alias("_no"), F.col("why").alias("_no_why"))
-    yes = approved.select(F.col("name").alias("_yes"), F.col("why").alias("_yes_why"))
-    fine = licenses.select(F.col("license").alias("_fine")).distinct()
-    joined = modules.join(no, F.col(name) == F.col("_no"), "left").join(yes, F.col(name) == F.col("_yes"), "left").join(fine, F.col(license) == F.col("_fine"), "left")
+    listed = lambda df, mark: df.groupBy(fold_col("name").alias(mark)).agg(F.max(F.coalesce("why", F.lit(""))).alias(f"{mark}_why"))
+    fine = licenses.select(F.col("license").alias("_fine")).where("_fine <> ''").distinct()
+    named = modules.withColumn("_name", fold_col(F.col(name)))
+    joined = named.join(listed(denied, "_no"), F.col("_name") == F.col("_no"), "left").join(listed(approved, "_yes"), F.col("_name") == F.col("_yes"), "left")
+    joined = joined.join(fine, F.col(license) == F.col("_fine"), "left").drop("_name")
     allowed = F.col("_no").isNull() & (F.col("_yes").isNotNull() | F.col("_fine").isNotNull())
     reason = (
         F.when(F.col("_no").isNotNull(), F.concat(F.lit("denied: "), "_no_why")).when(F.col("_yes").isNotNull(), F.concat(F.lit("approved: "), "_yes_why"))
@@ -52,10 +55,10 @@ def select_modules(modules: DataFrame, resource: str = "all", requested: list[st
         return kept
     names = sorted({x.casefold() for x in requested})
     spark = modules.sparkSession
-    missing = [x.name for x in missing_names(spark.createDataFrame([(x,) for x in names], "name string"), kept.select(F.lower("name").alias("name"))).orderBy("name").collect()]
+    missing = [x.name for x in missing_names(spark.createDataFrame([(x,) for x in names], "name string"), kept.select(fold_col("name").alias("name"))).orderBy("name").collect()]
     if missing:
         raise ValueError("no such module: " + ", ".join(missing))
-    return kept.where(F.lower("name").isin(names))
+    return kept.where(fold_col("name").isin(names))
 
 
 def missing_names(requested: DataFrame, found: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lectern.functions.ids import canonical_number, number_prefix
 from lectern.functions.refs import coordinates, reference_tokens
 from lectern.functions.text import license_text, public_text_col, slug_col
+from lectern.sources.shared import scratch, written
 from lectern.operators import checks, collapse, commentary, lexicon, policy, publish, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,12 +156,11 @@ def page_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as a dictionary: a page's key is the first word of its title; the host is its module."""
     pages = table(spark, sf_dir, "pages")
     key = F.regexp_extract("html", TITLE, 1)
-    rows = pages.select(F.lit("pages").alias("module"), F.col("page_id").alias("ordinal"), key.alias("key"), "html").where("key <> ''")
-    return lexicon.base_ids(rows)
+    return pages.select(F.lit("pages").alias("module"), F.col("page_id").alias("ordinal"), key.alias("key"), "html").where("key <> ''")
 
 
 def named_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lexicon.assign_ids(page_entries(spark, sf_dir), ascii_only=True)  # bases are ASCII: keys that aren't are encoded
+    return lexicon.assign_ids(lexicon.base_ids(page_entries(spark, sf_dir).drop("html")), ascii_only=True)  # bases are ASCII: keys that aren't are encoded
 
 
 BASES = r"""entries AS (
@@ -205,7 +205,19 @@ def search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {BASES} SELECT id, key, search FROM named WHERE starts_with(search, 'th')")
 def prefix_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lexicon.with_prefix(lexicon.search_index(searched_pages(spark, sf_dir)), "th").select("id", "key", "search")
+    """Only the parts of the index that can hold the prefix are read."""
+    path = scratch(spark, "index")
+    lexicon.write_index(searched_pages(spark, sf_dir), path)
+    return lexicon.read_index(spark, path, prefix="th").select("id", "key", "search")
+
+
+@query(f"""WITH {BASES}, ranked AS (SELECT *, row_number() OVER (ORDER BY search, folded, occurrence, ordinal) AS rank FROM named)
+SELECT rank, id, key, search FROM ranked WHERE search = 'the'""")
+def term_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One term's records with their ranks, out of the whole index."""
+    path = scratch(spark, "index")
+    lexicon.write_index(searched_pages(spark, sf_dir), path)
+    return lexicon.read_index(spark, path, term="the").select("rank", "id", "key", "search")
 
 
 @query(f"WITH {BASES} SELECT count(DISTINCT folded) AS unique_keys FROM named")
@@ -232,8 +244,11 @@ EDGES = rf"""WITH {BASES}, {ALIASES}, found AS (
 
 
 def page_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = searched_pages(spark, sf_dir)
-    return lexicon.link_edges(named, lexicon.candidates_of(named, "html"))
+    return edges_of(spark, sf_dir, named_pages(spark, sf_dir))
+
+
+def edges_of(spark: SparkSession, sf_dir: str, named: DataFrame) -> DataFrame:
+    return lexicon.link_edges(lexicon.searchable(named), lexicon.candidates_of(page_entries(spark, sf_dir), "html", ids=named))
 
 
 @query(f"WITH {BASES}, {ALIASES} SELECT alias, target FROM aliases")
@@ -260,7 +275,7 @@ def backlinks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def link_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = named_pages(spark, sf_dir)
     src, dst = named.select(F.col("id").alias("src"), F.col("key").alias("src_key")), named.select(F.col("id").alias("dst"), F.col("key").alias("dst_key"))
-    return page_edges(spark, sf_dir).join(src, "src").join(dst, "dst").select("src", "src_key", "dst", "dst_key")
+    return edges_of(spark, sf_dir, named).join(src, "src").join(dst, "dst").select("src", "src_key", "dst", "dst_key")
 
 
 @query(r"""WITH keys AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN lpad(CAST(p_partkey AS VARCHAR), 5, '0') WHEN 1 THEN 'g' || lpad(CAST(p_partkey AS VARCHAR), 5, '0')
@@ -472,7 +487,7 @@ def false_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{EDGES} SELECT src, dst FROM edges WHERE length(src) % 2 = 0")
 def one_way_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links both ways; sources with ids of even length are lacking from the lists back."""
-    edges = page_edges(spark, sf_dir)
+    edges = written(page_edges(spark, sf_dir), "edges")
     back = lexicon.neighbours(edges, forward=False).withColumn("ids", F.filter("ids", lambda x: F.length(x) % 2 == 1))
     return validate.one_way_links(lexicon.neighbours(edges), back).select("src", "dst")
 

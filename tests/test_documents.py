@@ -44,7 +44,8 @@ def test_commentary(spark, tmp_path):
 def test_dictionary(spark, tmp_path):
     rows = [("Dic", 0, "Zeta", '<a href="Alpha">x</a> John.3.16', "", "z", "G"), ("Dic", 1, "Alpha", "", "<b>a</b>", "", "G"), ("Dic", 2, "03056", "", "", "n", "G"), ("Dic", 3, "Empty", "", "", " ", "G")]
     modules = spark.createDataFrame([("Dic", "dic", "el", "A dictionary")], MODULES)
-    entries = spark.createDataFrame(rows, "module string, ordinal long, key string, raw string, html string, plain string, prefix string").where("trim(plain) <> '' or html <> ''")
+    entries = spark.createDataFrame(rows, "module string, ordinal long, key string, raw string, html string, plain string, prefix string")
+    entries = lexicon.publishable(entries)
     named = lexicon.searchable(lexicon.assign_ids(lexicon.base_ids(entries, "prefix"))).cache()
     edges = lexicon.link_edges(named, lexicon.candidates_of(named, "raw", "html"))
     ahead, back = lexicon.neighbours(edges), lexicon.neighbours(edges, forward=False)

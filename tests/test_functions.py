@@ -1,3 +1,7 @@
+import re
+import unicodedata
+from html.parser import HTMLParser
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +14,35 @@ def one(spark, column, **values):
     return row.select(column.alias("x")).first().x
 
 
+def plain_search_fold(key):
+    """By Python's own patterns."""
+    bare = "".join(c for c in unicodedata.normalize("NFKD", key) if not unicodedata.combining(c)).casefold()
+    return re.sub(r"\s+", " ", re.sub(r"[^\w\s-]", " ", bare)).strip() or key.casefold()
+
+
+def test_search_fold_over_all_code_points():
+    for k in (*range(0xD800), *range(0xE000, 0x110000)):
+        key = f"a{chr(k)}b"
+        assert text.search_fold(key) == plain_search_fold(key), hex(k)
+
+
+class Shown(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.parts = []
+
+    def handle_data(self, data):
+        self.parts.append(data)
+
+
+@pytest.mark.parametrize("markup", ["a<!-- b <i>c</i>", "a<!-- b", "a<!--", "a<!-->b<i>c</i>", "a<!-- x -- >b", "a<!-- <!-- x --> b", "a<!-- x <i>y<!-- z --> w"])
+def test_open_comments_as_the_standard_parser(markup):
+    parser = Shown()
+    parser.feed(markup)
+    parser.close()
+    assert text.strip_markup(markup) == "".join(parser.parts)
+
+
 def test_markup():
     assert text.strip_markup("<p>a<script>no</script>b</p>c&amp;d<br/>e<!-- x -->") == "\nab\nc&d\ne"
     assert text.strip_markup("<style>x<b>y</b></style>z") == "z"
@@ -37,6 +70,7 @@ def test_folds(spark):
     assert text.search_fold("ἀγάπη") == "αγαπη"
     assert text.search_fold("Beth-el, the") == "beth-el the"
     assert text.search_fold("!?") == "!?"
+    assert text.search_fold("हिन्दी") == "ह न द" and text.search_fold("ไทย ที่") == "ไทย ท" and text.search_fold("שָׁלוֹם") == "שלום" and text.search_fold("a\u034fb\u20dd") == "ab"
     assert text.percent_decode("100%+%41") == "100%+A"
     assert text.slug("  A b/C. ") == "a-b-c"
     with pytest.raises(ValueError):

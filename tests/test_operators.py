@@ -160,24 +160,95 @@ def test_publish(spark, tmp_path):
     assert [x.path for x in order] == ["clarke/1.json", "clarke.json"]
 
 
-def test_a_numbered_base_takes_its_family_alone(spark, monkeypatch):
-    """Tasks see the entries of one family, without further columns; ids are those of the rule over the whole module."""
-    import pandas as pd
-
-    from lectern.operators import lexicon
-
-    keys = ["a", "b", "b", "b--2", "B", "c", "c", "d--1", "d--1", "d--1--2", "a", "e"]
-    rows = [("m", k, x, "k-" + x, "html") for k, x in enumerate(keys)]
-    wanted = lexicon._one_by_one(pd.DataFrame([x[:4] for x in rows], columns=["module", "ordinal", "key", "base"]))
-    real = lexicon._one_by_one
-
-    def alone(pdf: pd.DataFrame) -> pd.DataFrame:
-        if "html" in pdf or len(set(pdf["base"].str.lower().str.replace("(--[0-9]+)+$", "", regex=True))) > 1:
-            raise ValueError("more than a family")
-        return real(pdf)
-
-    monkeypatch.setattr(lexicon, "_one_by_one", alone)
-    entries = spark.createDataFrame(rows, "module string, ordinal long, key string, base string, html string")
-    found = lexicon.assign_ids(entries, ascii_only=True)
-    assert found.columns == [*entries.columns, "id", "occurrence"]
-    assert sorted((x.ordinal, x.id, x.occurrence, x.html) for x in found.collect()) == [(o, i, n, "html") for o, i, n in zip(wanted["ordinal"], wanted["id"], wanted["occurrence"], strict=True)]
+def one_by_one(entries):
+    """The rule in the order of entries: {ordinal: (id, occurrence)}; None where two entries would end with one id."""
+    import hashlib
+
+    owner, times, found = {}, {}, {}
+    for ordinal, key, base in entries:
+        name = base if owner.setdefault(base.casefold(), key) == key else "h-" + hashlib.sha256(key.encode()).hexdigest()
+        owner.setdefault(name.casefold(), key)
+        n = times[name.casefold()] = times.get(name.casefold(), 0) + 1
+        if n > 1:
+            name = f"{name}--{n}"
+            owner.setdefault(name.casefold(), key)
+        found[ordinal] = (name, n)
+    return found if len({x for x, _ in found.values()}) == len(found) else None
+
+
+def test_ids_of_random_sequences(spark):
+    """Passes over all rows give what the rule gives row by row, on 10,000 modules whose keys look like numbered ids."""
+    import random
+
+    rng = random.Random(7)
+    pool = ["a", "A", "a--2", "A--2", "a--3", "a--2--2", "A--2--3", "a--2--2--2", "b", "B", "b--2", "a--x"]
+    rows, wanted = [], {}
+    while len(wanted) < 10_000:
+        keys = rng.choices(pool, k=rng.randint(2, 9))
+        entries = [(3 * k + 1, x, "k-" + x) for k, x in enumerate(keys)]
+        if (ids := one_by_one(entries)) is not None:
+            module = f"m{len(wanted)}"
+            wanted[module] = ids
+            rows += [(module, *x, "html") for x in entries]
+    found = lexicon.assign_ids(spark.createDataFrame(rows, "module string, ordinal long, key string, base string, html string"))
+    assert found.columns == ["module", "ordinal", "key", "base", "html", "id", "occurrence"]
+    got = {}
+    for x in found.collect():
+        got.setdefault(x.module, {})[x.ordinal] = (x.id, x.occurrence)
+    assert got == wanted
+
+
+def test_a_key_with_several_bases(spark):
+    """A hash may name entries of two families, and be numbered across them."""
+    import hashlib
+
+    hashed = "h-" + hashlib.sha256(b"q").hexdigest()
+    keys = [("p", "k-1"), ("q", "k-1"), ("p", "k-2"), ("q", "k-2"), ("r", f"{hashed}--2"), ("s", "k-3--2"), ("q", f"{hashed}--3")]
+    rows = [("m", k, *x) for k, x in enumerate(keys)]
+    found = lexicon.assign_ids(spark.createDataFrame(rows, "module string, ordinal long, key string, base string"))
+    assert {x.ordinal: (x.id, x.occurrence) for x in found.collect()} == one_by_one([x[1:] for x in rows])
+
+
+def test_unpublishable_entries_own_nothing(spark):
+    """A blank entry that comes first neither claims an id or alias nor is linked to; keys lose white space of any kind."""
+    rows = [(0, "Alpha", "", " "), (1, "ALPHA", "", "x"), (2, " Alpha\u00a0", "<b>y</b>", ""), (3, " ", "", "z"), (4, None, "", "z"), (5, "Beta", '<a href="Alpha">', "b")]
+    entries = spark.createDataFrame([("d", *x) for x in rows], "module string, ordinal long, key string, html string, plain string")
+    kept = lexicon.publishable(entries)
+    named = lexicon.searchable(lexicon.assign_ids(lexicon.base_ids(kept)))
+    assert {x.ordinal: (x.id[:7], x.text) for x in named.collect()} == {1: ("k-ALPHA", "x"), 2: ("h-" + named.where("ordinal = 2").first().id[2:7], "y"), 5: ("k-Beta", "b")}
+    edges = lexicon.link_edges(named, lexicon.candidates_of(kept, "html", ids=named))
+    assert [(x.src, x.dst) for x in edges.collect()] == [("k-Beta", "k-ALPHA")]
+
+
+def test_index_in_parts(spark, tmp_path):
+    """A third of all records bear one term: ranks are those of the whole order, and a lookup reads the parts that can hold it."""
+    rows = [("m" if k % 5 else "n", k, "hot" if k % 3 == 0 else f"t{k % 97:02d}") for k in range(3000)]
+    named = lexicon.searchable(lexicon.assign_ids(lexicon.base_ids(spark.createDataFrame(rows, "module string, ordinal long, key string"))))
+    lexicon.write_index(named, str(tmp_path), parts=16)
+    index = lexicon.read_index(spark, str(tmp_path))
+    got = {(x.module, x.rank): (x.search, x.occurrence or 1) for x in index.collect()}
+    keys = {m: sorted((x.search, x.occurrence) for x in named.where(F.col("module") == m).collect()) for m in "mn"}
+    assert got == {(m, r): x for m in "mn" for r, x in enumerate(keys[m], 1)}
+    sizes = [x["count"] for x in spark.read.parquet(f"{tmp_path}/rows").groupBy("part").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2.5 * 3000 / 16
+    assert validate.unsorted_terms(index).count() == 0
+
+    assert [x.search for x in lexicon.read_index(spark, str(tmp_path), prefix="t0").select("search").distinct().orderBy("search").collect()] == [f"t0{k}" for k in range(10)]
+    assert {(x.module, x.rank) for x in lexicon.read_index(spark, str(tmp_path), term="hot").collect()} == {k for k, v in got.items() if v[0] == "hot"}
+    wanted = lexicon.read_index(spark, str(tmp_path), term="t07").collect()
+    bounds = {x.part: (x.low, x.high) for x in spark.read.parquet(f"{tmp_path}/parts").where("module = 'm'").collect()}
+    spoiled = [path for part, (low, high) in bounds.items() if not low <= "t07" <= high for path in (tmp_path / f"rows/part={part}").glob("*")]
+    assert len(spoiled) >= 12
+    for path in spoiled:
+        path.write_bytes(b"no table")
+    assert wanted and lexicon.read_index(spark, str(tmp_path), term="t07").where("module = 'm'").collect() == [x for x in wanted if x.module == "m"]
+    assert lexicon.read_index(spark, str(tmp_path), term="none").count() == 0 and lexicon.read_index(spark, str(tmp_path), prefix="zz").count() == 0
+
+
+def test_policy_folds_names(spark):
+    modules = spark.createDataFrame([("clarke", "pd"), ("Straße", "pd"), ("None", ""), ("Gill", "no")], "name string, license_key string")
+    lists = lambda *x: spark.createDataFrame(list(x), "name string, why string")
+    found = policy.decide(modules, lists(("Clarke", "x"), ("CLARKE", "w"), ("STRASSE", None)), lists(("GILL", "z")), spark.createDataFrame([("pd",), ("",)], "license string"))
+    assert {x.name: (x.allowed, x.reason) for x in found.collect()} == {"clarke": (False, "denied: x"), "Straße": (False, "denied: "), "None": (False, "licence not approved"), "Gill": (True, "approved: z")}
+    kinds = spark.createDataFrame([("Straße", "commentaries")], "name string, kind string")
+    assert policy.select_modules(kinds, requested=["strasse"]).count() == 1
