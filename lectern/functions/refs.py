@@ -32,6 +32,7 @@ BOOKS = (
 #: Book, chapter and perhaps verse, joined by dots. Digits may be any script's, letters are ASCII.
 TOKEN = r"[1-4]?[A-Za-z][A-Za-z0-9]+\.\p{Nd}+(?:\.\p{Nd}+)?"
 REFERENCE = "struct<osis:string,book:int,chapter:int,verse:int>"
+REFERENCES = f"array<{REFERENCE}>"
 
 
 def books(spark: SparkSession) -> DataFrame:

@@ -27,9 +27,14 @@ def named(kind: str, *members: Column) -> Column:
     return F.struct(F.lit(kind).alias("schema"), *members)
 
 
+def shown_entry() -> Column:
+    """A collapsed entry as its chapter shows it."""
+    return F.struct("book", "chapter", "verse", F.col("positions").alias("verses"), "osis", "text", F.when(F.size("references") > 0, F.col("references")).alias("references"))
+
+
 def chapter_documents(entries: DataFrame, modules: DataFrame) -> DataFrame:
     """(module, book, chapter, path, document, entry_count). ``entries``: collapsed; ``modules``: module, id, language, description."""
-    one = F.struct("verse", F.struct("book", "chapter", "verse", F.col("positions").alias("verses"), "osis", "text", F.when(F.size("references") > 0, F.col("references")).alias("references")).alias("e"))
+    one = F.struct("verse", shown_entry().alias("e"))
     order = F.array_sort(F.collect_list(F.struct("verse", "text", one.alias("one"))))
     rows = entries.groupBy("module", "book", "chapter").agg(F.transform(order, lambda x: x["one"]["e"]).alias("entries"), F.count("*").alias("entry_count")).join(modules, "module")
     document = named("commentary-chapter-v1", F.col("id").alias("commentary"), F.col("language"), F.col("book"), book_name(F.col("book")).alias("name"), F.col("chapter"), F.col("entries"))

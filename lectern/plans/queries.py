@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.ids import canonical_number, number_prefix
 from lectern.functions.refs import coordinates, reference_tokens
 from lectern.functions.text import license_text, public_text_col, slug_col
+from lectern.functions import refs
+from lectern.operators import checks, collapse, commentary, documents, lexicon, policy, publish, validate
+from lectern.sources import shapes, store
 from lectern.sources.shared import scratch, written
-from lectern.operators import checks, collapse, commentary, lexicon, policy, publish, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -504,3 +506,113 @@ def composition_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", F.concat_ws(":", "turn", "role", "text").alias("entry"))
     whole = turns.withColumn("entry", F.when(F.col("conv_id") % 5 == 0, F.concat("entry", F.lit("."))).otherwise(F.col("entry")))
     return validate.composition_faults(turns, whole, ["conv_id"]).select("conv_id")
+
+
+BOOK_NAMES = "names(book, name) AS (VALUES " + ", ".join(f"({number}, '{name}')" for number, name, _ in refs.BOOKS) + ")"
+
+
+def line_modules(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(entries, modules, books): a source is a commentary, a document a chapter of one of 66 books, its lines are the verses."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("none")).alias("module"))
+    lines = collapse.collapse(numbered_lines(spark, sf_dir).where("text <> ''"), ["doc_id"], order="verse")
+    none = F.lit(None).cast("string")
+    rows = lines.join(docs, "doc_id").select("module", (F.col("doc_id") % 66 + 1).alias("book"), F.col("doc_id").alias("chapter"), "verse", "positions", none.alias("osis"), "text", F.array().cast(refs.REFERENCES).alias("references"), "copies")
+    modules = docs.select("module").distinct().select("module", F.lower("module").alias("id"), F.lit("en").alias("language"), F.concat(F.lit("All of "), "module").alias("description"))
+    return rows.withColumn("entry", documents.shown_entry()), modules, refs.books(spark).select("book", "name").distinct()
+
+
+STORED = rf"""WITH {LINES}, {BOOK_NAMES}, e AS (
+  SELECT coalesce(source, 'none') AS module, doc_id % 66 + 1 AS book, doc_id AS chapter, lines.text AS text, min(verse) AS verse, list_distinct(list(verse)) AS covered, count(*) AS copies
+  FROM lines JOIN documents USING (doc_id) WHERE lines.text <> '' GROUP BY ALL
+), sized AS (
+  SELECT *, octet_length(encode(text)) AS size,
+    2 + 14 + length(CAST(book AS VARCHAR)) + 17 + length(CAST(chapter AS VARCHAR)) + 15 + length(CAST(verse AS VARCHAR)) + 14 + octet_length(encode(CAST(to_json(text) AS VARCHAR))) + 6
+      + CASE WHEN len(covered) > 1 THEN 2 + 16 + 10 + list_sum(list_transform(covered, lambda x: 8 + length(CAST(x AS VARCHAR)))) + 2 * (len(covered) - 1) ELSE 0 END + 6 AS bytes,
+    6 + CASE WHEN len(covered) > 1 THEN len(covered) + 2 ELSE 0 END AS lines
+  FROM e
+), heads AS (
+  SELECT module, book, chapter, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(lines) AS BIGINT) AS lines,
+    '",' || chr(10) || '  "commentary": "' || lower(module) || '",' || chr(10) || '  "language": "en",' || chr(10) AS about, '  "book": ' || book || ',' || chr(10) || '  "name": "' || name || '",' || chr(10) AS named
+  FROM sized JOIN names USING (book) GROUP BY module, book, chapter, name
+), chapters AS (
+  SELECT *, length('{{' || chr(10) || '  "schema": "commentary-chapter-v1' || about || named || '  "chapter": ' || chapter || ',' || chr(10) || '  "entries": [' || chr(10)) + bytes + 4 * n + 2 * (n - 1) + length(chr(10) || '  ]' || chr(10) || '}}' || chr(10)) AS size,
+    8 + lines + 2 AS rows FROM heads
+), book_rows AS (
+  SELECT module, book, about, CAST(length('{{' || chr(10) || '  "schema": "commentary-book-v1' || about || named || '  "chapters": [' || chr(10)) + sum(size - 1 + 4 * rows) + 2 * (count(*) - 1) + 7 AS BIGINT) AS size, CAST(7 + sum(rows) + 2 AS BIGINT) AS rows, sum(size) AS chapters
+  FROM chapters GROUP BY module, book, about, named
+), blocks AS (
+  SELECT module, CAST(sum(chapters) AS BIGINT) AS chapter_bytes, CAST(sum(size) AS BIGINT) AS book_bytes,
+    CAST(length('{{' || chr(10) || '  "schema": "commentary-v1' || about || '  "name": "All of ' || module || '",' || chr(10) || '  "books": [' || chr(10)) + sum(size - 1 + 4 * rows) + 2 * (count(*) - 1) + 7 AS BIGINT) AS commentary_bytes
+  FROM book_rows GROUP BY module, about
+), texts AS (SELECT module, CAST(sum(copies) AS BIGINT) AS source_entry_count, CAST(sum(copies * size) AS BIGINT) AS source_text_bytes, CAST(sum(size) AS BIGINT) AS text_bytes FROM sized GROUP BY module)"""
+
+
+@query(f"{STORED} SELECT *, chapter_bytes + book_bytes + commentary_bytes AS published_bytes FROM texts JOIN blocks USING (module)")
+def storage_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each source would be published with at every level; the rounded ratio, which SQL rounds otherwise, is left out."""
+    return collapse.storage_blocks(*line_modules(spark, sf_dir)).drop("repetition_ratio")
+
+
+@query(r"""WITH turns AS (
+  SELECT conv_id, string_agg('    {' || chr(10) || '      "turn": ' || turn || coalesce(',' || chr(10) || '      "role": ' || CAST(to_json(role) AS VARCHAR), '') || coalesce(',' || chr(10) || '      "text": ' || CAST(to_json(text) AS VARCHAR), '') || chr(10) || '    }',
+    ',' || chr(10) ORDER BY turn, role, text) AS turns FROM conversations GROUP BY conv_id
+), shown AS (SELECT conv_id, '{' || chr(10) || '  "schema": "conversation-v1",' || chr(10) || '  "id": ' || conv_id || ',' || chr(10) || '  "turns": [' || chr(10) || turns || chr(10) || '  ]' || chr(10) || '}' || chr(10) AS json FROM turns)
+SELECT 'conversations/' || conv_id || '.json' AS path, sha256(json) AS sha256, CAST(octet_length(encode(json)) AS BIGINT) AS size FROM shown""")
+def published_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as documents: rendered, published by commit, and read back from the files."""
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    document = documents.named("conversation-v1", F.col("conv_id").alias("id"), F.col("turns"))
+    folder = scratch(spark, "published")
+    store.write_documents(publish.render(rows, F.concat(F.lit("conversations/"), "conv_id", F.lit(".json")), document), folder, publish.CEILING)
+    found = store.read_documents(spark, folder)
+    return found.select("path", F.sha2("json", 256).alias("sha256"), F.octet_length("json").cast("long").alias("size"))
+
+
+#: The shape of a document's record in ``shape_check``.
+RECORD = {
+    "$defs": {"text": {"type": "object", "required": ["size", "value"], "properties": {"size": {"type": "integer", "minimum": 0}, "value": {"type": "string", "minLength": 1}}, "additionalProperties": False}},
+    "type": "object", "required": ["id", "text"],
+    "properties": {"id": {"type": "integer", "minimum": 0}, "lang": {"enum": ["de", "en", "es", "fr"]}, "tags": {"type": "array", "minItems": 1, "items": {"type": "string", "pattern": "^[a-z0-9]+$"}}, "text": {"$ref": "#/$defs/text"}},
+}
+
+
+@query("""SELECT doc_id, CASE doc_id % 11 WHEN 1 THEN 'id' WHEN 2 THEN 'record' WHEN 3 THEN 'tags.1' WHEN 4 THEN 'text' WHEN 5 THEN 'text.size' WHEN 6 THEN 'lang' WHEN 7 THEN 'tags' WHEN 8 THEN 'text.value' WHEN 9 THEN 'record' END AS path,
+  CASE doc_id % 11 WHEN 1 THEN 'minimum' WHEN 2 THEN 'required' WHEN 3 THEN 'pattern' WHEN 4 THEN 'additionalProperties' WHEN 5 THEN 'type' WHEN 6 THEN 'enum' WHEN 7 THEN 'minItems' WHEN 8 THEN 'type' WHEN 9 THEN 'type' END AS rule FROM documents""")
+def shape_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as records, nine in eleven of them spoiled in one or two places, of which the first is told."""
+    docs, n = table(spark, sf_dir, "documents"), F.col("doc_id") % 11
+    text, size = F.coalesce("text", F.lit("-")), F.octet_length(F.coalesce("text", F.lit("-")))
+    member = lambda odd, spoiled, good: F.when(n == odd, spoiled).otherwise(good)
+    said = F.to_json(F.struct(F.concat(text, F.lit(".")).alias("value")))  # {"value":"..."}
+    inner = F.concat(F.lit('{"size":'), member(5, F.lit('"many"'), size.cast("string")), member(4, F.lit(',"html":1'), F.lit("")), F.lit(","), member(8, F.lit('"value":7}'), F.substring(said, 2, 1 << 30)))
+    whole = F.concat(
+        F.lit('{"id":'), F.when(n == 1, F.concat(F.lit("-"), F.col("doc_id") + 1)).otherwise(F.col("doc_id").cast("string")), F.lit(',"lang":'), member(6, F.lit('"xx"'), F.lit('"de"')), F.lit(',"tags":'), member(7, F.lit("[]"), member(3, F.lit('["a","B","c"]'), F.lit('["a","b"]'))),
+        member(2, F.lit(""), F.concat(F.lit(',"text":'), inner)), F.lit("}"),
+    )
+    records = docs.select("doc_id", F.lit("document").alias("type"), member(9, F.substring(whole, 1, 9), whole).alias("record"))
+    return shapes.shape_faults(records, {"document": RECORD}).select("doc_id", "path", "rule")
+
+
+@query(f"""{COLLAPSED}, marked AS (
+  SELECT doc_id || ':' || verse AS path, doc_id % 3 = 0 AND len(covered) > 1 AS anchor, octet_length(encode(text)) > 400 AS large, text = '' AS blank, false AS repeated FROM collapsed
+), told AS (
+  SELECT 'anchor is the lowest' AS rule, path, anchor AS broken FROM marked UNION ALL SELECT 'no text repeats', path, repeated FROM marked
+  UNION ALL SELECT 'text is short', path, large FROM marked UNION ALL SELECT 'text is there', path, blank FROM marked
+), ranked AS (SELECT rule, path, row_number() OVER (PARTITION BY rule ORDER BY path) AS n FROM told WHERE broken)
+SELECT rule, count(*) AS rows, count(*) FILTER (broken) AS broken, coalesce((SELECT string_agg(path, ',' ORDER BY n) FROM ranked WHERE ranked.rule = told.rule AND n <= 20), '') AS problems FROM told GROUP BY rule""")
+def validation_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules on collapsed lines, counted while they are written; every third document's anchors are spoiled."""
+    found = collapse.collapse(numbered_lines(spark, sf_dir), ["doc_id"], order="verse").withColumn("path", F.concat_ws(":", "doc_id", "verse"))
+    spoiled = found.withColumn("verse", F.col("verse") + F.when(F.col("doc_id") % 3 == 0, 1).otherwise(0))
+    rules = {
+        "anchor is the lowest": F.col("positions").isNull() | (F.array_min("covered") == F.col("verse")), "no text repeats": F.count("*").over(Window.partitionBy("doc_id", "text")) == 1,
+        "text is short": collapse.utf8_bytes() <= 400, "text is there": F.col("text") != "",
+    }
+    report = validate.write_checked(spoiled, rules, scratch(spark, "checked"))
+    return report.select("rule", "rows", "broken", joined("problems"))
+
+
+@query(f"{EDGES} SELECT count(*) AS entries, count(*) FILTER (id IN (SELECT src FROM edges)) AS linked FROM named")
+def linked_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = named_pages(spark, sf_dir)
+    return validate.linked_count(named, lexicon.neighbours(edges_of(spark, sf_dir, named))).select("entries", "linked")

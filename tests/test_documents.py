@@ -4,7 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from lectern.operators import checks, commentary, documents, lexicon, publish, validate
+from lectern.functions import refs
+from lectern.operators import checks, collapse, commentary, documents, lexicon, publish, validate
 
 ENTRY = "module string, ordinal long, key string, raw string, html string, plain string, verse struct<osis:string,testament:int,book:int,chapter:int,verse:int>"
 MODULES = "module string, id string, language string, description string"
@@ -36,6 +37,19 @@ def test_commentary(spark, tmp_path):
     assert load(tmp_path / "v1", "com.json")["books"] == [load(tmp_path / "v1", "com/1.json"), load(tmp_path / "v1", "com/43.json")]
     index = load(tmp_path / "v1", "com/books.json")
     assert index["book_count"] == 2 and index["books"][0] == {"book": 1, "name": "Genesis", "chapters": [2, 10], "entry_count": 3}
+    size = lambda path: (tmp_path / "v1" / path).stat().st_size
+    dimension = refs.books(spark).select("book", "name").distinct()
+    levels = {(x.book, x.chapter): (x.parts, x.entries, x.bytes) for x in collapse.storage_levels(entries.withColumn("entry", documents.shown_entry()), modules, dimension).collect()}
+    assert levels == {
+        (43, 1): (0, 1, size("com/43/1.json")), (43, 0): (0, 1, size("com/43/0.json")), (1, 2): (0, 2, size("com/1/2.json")), (1, 10): (0, 1, size("com/1/10.json")),
+        (43, None): (2, 2, size("com/43.json")), (1, None): (2, 3, size("com/1.json")), (None, None): (2, 5, size("com.json")),
+    }
+    block = collapse.storage_blocks(entries.withColumn("entry", documents.shown_entry()), modules, dimension).first().asDict()
+    chapter_bytes, book_bytes = sum(levels[x][2] for x in levels if x[1] is not None), levels[43, None][2] + levels[1, None][2]
+    assert block == {
+        "module": "Com", "source_entry_count": 6, "source_text_bytes": 26, "text_bytes": 22, "repetition_ratio": round(26 / 22, 3), "chapter_bytes": chapter_bytes, "book_bytes": book_bytes,
+        "commentary_bytes": size("com.json"), "published_bytes": chapter_bytes + book_bytes + size("com.json"),
+    }
     assert validate.repeated_texts(entries, ["module", "book", "chapter"]).count() == 0 and validate.false_anchors(entries).count() == 0
     found = {x.path: x.fault for x in checks.manifest_faults(manifest, publish.tree_manifest(spark, str(tmp_path / "v1"))).collect()}
     assert found == {"com.json": "extra", "com/1.json": "extra", "com/43.json": "extra"}

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.functions import ids, refs, text
-from lectern.functions.render import megabytes, member_lines, stable_json
+from lectern.functions.render import megabytes, member_lines, pretty_shape, stable_json
 
 
 def one(spark, column, **values):
@@ -122,6 +122,21 @@ def test_links(spark):
     assert targets("sword://100%") == ["100%"]
 
 
+def test_shapes_are_those_of_rendered_values(spark):
+    """Bytes and lines from columns, for nested structs and arrays with absent members, odd characters and empty lists."""
+    kind = "a long, t string, strong_prefix string, n array<long>, s struct<x:int,y:array<struct<t:string,b:boolean>>>, e array<string>"
+    rows = [
+        (1, 'é"\\\n\t\x01/\x7f\u2028 漢', None, [1, -22, None], (None, [("q", True), (None, None)]), []), (None, None, "G", [], (5, []), None), (10**12, "", "H", None, None, [None, "a"]), (0, "x", None, [7], (None, None), ["", "b"]),
+    ]
+    df = spark.createDataFrame(rows, kind)
+    value = F.struct(*df.columns)
+    data_type = df.select(value.alias("v")).schema["v"].dataType
+    for depth in (0, 2):
+        for x in df.select(value.alias("v"), pretty_shape(value, data_type, depth).alias("s")).collect():
+            shown = stable_json(x.v.asDict(recursive=True)).rstrip("\n").replace("\n", "\n" + "  " * depth)
+            assert (x.s.bytes, x.s.lines) == (len(shown.encode()), shown.count("\n") + 1)
+
+
 def test_rendering():
     assert stable_json({"b": "é", "a": None, "strong_prefix": None, "c": [{"d": None, "e": 1}]}) == '{\n  "b": "é",\n  "strong_prefix": null,\n  "c": [\n    {\n      "e": 1\n    }\n  ]\n}\n'
     assert member_lines("{\n  1\n}\n") == "    {\n      1\n    }"
