@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 #: Members that are published as null rather than left out.
 KEPT_NULLS = ("strong_prefix",)
@@ -30,33 +31,43 @@ def member_lines(document: str) -> str:
     return "\n".join("    " + line if line else line for line in document.rstrip("\n").split("\n"))
 
 
-def pretty_shape(value: Column, kind: DataType, depth: int = 0) -> Column:
-    """(bytes, lines) of a value as ``stable_json`` shows it ``depth`` levels deep, without the last line's end: sizes are known
-    from columns, before anything is rendered. Kinds: structs, arrays, strings, whole numbers and booleans; a null one is ``null``.
-    """
-    both = lambda size, lines: F.struct(size.cast("long").alias("bytes"), lines.cast("long").alias("lines"))
-    line = lambda name="": 2 * (depth + 1) + (len(name.encode()) + 4 if name else 0)  # noqa: E731  indent, and a member's name in quotes, colon and blank
+def _members(value: Column, kind: StructType, one: Callable[[Column, StructField], Column]) -> Column:
+    """The sum of ``one`` over the members that are shown."""
+    shown = [F.lit(True) if f.name in KEPT_NULLS else value[f.name].isNotNull() for f in kind.fields]
+    return sum((F.when(here, one(value[f.name], f)).otherwise(0) for here, f in zip(shown, kind.fields, strict=True)), F.lit(0).cast("long"))
+
+
+def _elements(value: Column, one: Callable[[Column], Column]) -> Column:
+    return F.aggregate(value, F.lit(0).cast("long"), lambda a, x: a + one(x))
 
-    def framed(sizes: Column, lines: Column, parts: Column) -> Column:
-        """Brackets around ``parts`` parts of these sizes together, each on lines of its own, a comma and an end of line between two."""
-        whole = both(sizes + 2 * (parts - 1) + 2 + 1 + 2 * depth + 1, lines + 2)
-        return F.when(parts == 0, both(F.lit(2), F.lit(1))).otherwise(whole)
 
+def pretty_bytes(value: Column, kind: DataType, depth: int = 0) -> Column:
+    """Bytes of a value as ``stable_json`` shows it ``depth`` levels deep, without the last line's end: sizes are known from columns, before
+    anything is rendered. Kinds: structs, arrays, strings, whole numbers and booleans; a null one is ``null``.
+    """
+    indent = 2 * (depth + 1)
+    framed = lambda parts, count: F.when(count == 0, 2).otherwise(2 + parts + 2 * (count - 1) + 1 + 2 * depth + 1)  # noqa: E731  brackets on lines of their own, a comma and an end of line between two
     if isinstance(kind, StructType):
-        members = [(value[f.name], pretty_shape(value[f.name], f.dataType, depth + 1), f.name) for f in kind.fields]
-        here = lambda x, name: F.lit(True) if name in KEPT_NULLS else x.isNotNull()
-        total = lambda one: sum((F.when(here(x, name), one(shape, name)).otherwise(0) for x, shape, name in members), F.lit(0))
-        shape = framed(total(lambda shape, name: shape["bytes"] + line(name)), total(lambda shape, _: shape["lines"]), total(lambda *_: F.lit(1)))
+        member = lambda x, f: pretty_bytes(x, f.dataType, depth + 1) + indent + len(f.name.encode()) + 4  # noqa: E731  quotes, colon and blank
+        size = framed(_members(value, kind, member), _members(value, kind, lambda *_: F.lit(1)))
     elif isinstance(kind, ArrayType):
-        each = F.transform(value, lambda x: pretty_shape(x, kind.elementType, depth + 1))
-        zero = both(F.lit(0), F.lit(0))
-        sums = F.aggregate(each, zero, lambda a, x: both(a["bytes"] + x["bytes"] + line(), a["lines"] + x["lines"]))
-        shape = framed(sums["bytes"], sums["lines"], F.size(value))
+        size = framed(_elements(value, lambda x: pretty_bytes(x, kind.elementType, depth + 1) + indent), F.size(value))
     elif isinstance(kind, StringType):
-        shape = both(F.octet_length(F.to_json(F.struct(value.alias("x")))) - 6, F.lit(1))
+        size = F.octet_length(F.to_json(F.struct(value.alias("x")))) - 6
+    else:
+        size = F.octet_length(value.cast("string"))
+    return F.when(value.isNull(), 4).otherwise(size).cast("long")
+
+
+def pretty_lines(value: Column, kind: DataType) -> Column:
+    """Lines of the same."""
+    if isinstance(kind, StructType):
+        inside = _members(value, kind, lambda x, f: pretty_lines(x, f.dataType))
+    elif isinstance(kind, ArrayType):
+        inside = _elements(value, lambda x: pretty_lines(x, kind.elementType))
     else:
-        shape = both(F.octet_length(value.cast("string")), F.lit(1))
-    return F.when(value.isNull(), both(F.lit(4), F.lit(1))).otherwise(shape)
+        return F.lit(1).cast("long")
+    return F.when(value.isNull() | (inside == 0), 1).otherwise(inside + 2).cast("long")
 
 
 def megabytes(size: int) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from lectern.functions.render import pretty_shape
+from lectern.functions.render import pretty_bytes, pretty_lines
 
 
 def collapse(rows: DataFrame, scope: list[str], position: str = "verse", text: str = "text", order: str = "ordinal", anchor: str | None = None, refs: str | None = None) -> DataFrame:
@@ -62,32 +62,35 @@ def storage(collapsed: DataFrame, text: str = "text") -> DataFrame:
     return collapsed.agg(total(F.col("copies")).alias("source_entries"), total(F.col("copies") * size).alias("source_bytes"), F.count("*").alias("published_entries"), total(size).alias("published_bytes"))
 
 
-def storage_levels(entries: DataFrame, modules: DataFrame, books: DataFrame) -> DataFrame:
-    """module, book, chapter, parts, entries, bytes: what each chapter, book (chapter null) and module (book null too) is
-    published with; parts counts the chapters of a book and the books of a module.
+def storage_levels(entries: DataFrame, modules: DataFrame, books: DataFrame, text: str = "text") -> DataFrame:
+    """module, book, chapter, parts, entries, bytes, source_entries, source_bytes, text_bytes: what each chapter, book (chapter null)
+    and module (book null too) is published with; parts counts the chapters of a book and the books of a module.
 
-    ``entries``: collapsed, with module, book, chapter and ``entry``, the struct that a chapter shows, absent members null;
+    ``entries``: collapsed, with module, book, chapter, copies, the text and ``entry``, the struct that a chapter shows, absent members null;
     ``modules``: module, id, language, description; ``books``: book, name. Sizes are those of the composed documents, to
     the byte, from the columns alone: a chapter in its book and again in its module is the same lines, four spaces deeper
     each time. One pass sums entries into chapters; one GROUPING SETS over the chapters gives all levels.
     """
-    shape = pretty_shape(F.col("entry"), entries.schema["entry"].dataType, 2)
-    sized = entries.select("module", "book", "chapter", shape.alias("s")).groupBy("module", "book", "chapter").agg(F.count("*").alias("n"), F.sum("s.bytes").alias("e"), F.sum("s.lines").alias("l"))
+    kind, size = entries.schema["entry"].dataType, utf8_bytes(text)
+    entry = F.col("entry")
+    sized = entries.select("module", "book", "chapter", "copies", size.alias("text_bytes"), pretty_bytes(entry, kind, 2).alias("e"), pretty_lines(entry, kind).alias("l"))
+    sized = sized.groupBy("module", "book", "chapter").agg(F.count("*").alias("n"), F.sum("e").alias("e"), F.sum("l").alias("l"), F.sum("copies").alias("source_entries"), F.sum(F.col("copies") * F.col("text_bytes")).alias("source_bytes"), F.sum("text_bytes").alias("text_bytes"))
     rows = sized.join(modules, "module").join(books, "book")
 
     def frame(kind: str, name: str, *members: Column) -> Column:
         """Bytes and lines of a document beside the members of its one array: it is shown with one of no bytes."""
         document = F.struct(F.lit(kind).alias("schema"), F.col("id").alias("commentary"), F.col("language"), *members, F.array(F.lit("")).alias(name))
-        shown = pretty_shape(document, rows.select(document.alias("d")).schema["d"].dataType)
-        return F.struct((shown["bytes"] + 1 - 6).alias("bytes"), (shown["lines"] - 1).alias("lines"))
+        shown = rows.select(document.alias("d")).schema["d"].dataType
+        return F.struct((pretty_bytes(document, shown) + 1 - 6).alias("bytes"), (pretty_lines(document, shown) - 1).alias("lines"))
 
     book = [F.col("book"), F.col("name")]
-    rows = rows.withColumn("c", frame("commentary-chapter-v1", "entries", *book, F.col("chapter"))).withColumn("b", frame("commentary-book-v1", "chapters", *book)).withColumn("m", frame("commentary-v1", "books", F.col("description").alias("name")))
     joined = lambda sizes, parts: sizes + 2 * (parts - 1)  # noqa: E731  a comma and an end of line between two
-    chapters = rows.select("module", "book", "chapter", "n", (F.col("c.bytes") + joined(F.col("e") + 4 * F.col("n"), F.col("n"))).alias("size"), (F.col("c.lines") + F.col("l")).alias("lines"), "m", F.struct("book", "b.bytes", "b.lines").alias("b"))
+    rows = rows.withColumns({"c": frame("commentary-chapter-v1", "entries", *book, F.col("chapter")), "b": frame("commentary-book-v1", "chapters", *book), "m": frame("commentary-v1", "books", F.col("description").alias("name"))})
+    chapters = rows.withColumn("size", F.col("c.bytes") + joined(F.col("e") + 4 * F.col("n"), F.col("n"))).withColumn("lines", F.col("c.lines") + F.col("l")).withColumn("b", F.struct("book", "b.bytes", "b.lines"))
     total = lambda x: F.sum(x).cast("long").alias(x)
+    sums = [total(x) for x in ("n", "size", "lines", "source_entries", "source_bytes", "text_bytes")]
     sets = chapters.groupingSets([["module", "book", "chapter"], ["module", "book"], ["module"]], "module", "book", "chapter").agg(
-        F.grouping_id().alias("level"), F.count("*").alias("count"), total("n"), total("size"), total("lines"), F.first("m.bytes").alias("frame"), F.collect_set("b").alias("around"),
+        F.grouping_id().alias("level"), F.count("*").alias("count"), *sums, F.first("m.bytes").alias("frame"), F.collect_set("b").alias("around"),
     )  # fmt: skip  around: a struct a book, of which there are under a hundred
     size, lines, count, many = F.col("size"), F.col("lines"), F.col("count"), F.size("around")
     frames = lambda deep: F.aggregate("around", F.lit(0).cast("long"), lambda a, x: a + x["bytes"] + deep * x["lines"])
@@ -96,21 +99,20 @@ def storage_levels(entries: DataFrame, modules: DataFrame, books: DataFrame) ->
     as_module = F.col("frame") + joined(frames(4) + inside - many, many)
     found = F.when(F.col("level") == 0, size).when(F.col("level") == 1, as_book).otherwise(as_module).cast("long")
     parts = F.when(F.col("level") == 0, 0).when(F.col("level") == 1, count).otherwise(many).cast("long")
-    return sets.select("module", "book", "chapter", parts.alias("parts"), F.col("n").alias("entries"), found.alias("bytes"))
+    return sets.select("module", "book", "chapter", parts.alias("parts"), F.col("n").alias("entries"), found.alias("bytes"), "source_entries", "source_bytes", "text_bytes")
 
 
 def storage_blocks(entries: DataFrame, modules: DataFrame, books: DataFrame, text: str = "text") -> DataFrame:
     """A row a module: source_entry_count, source_text_bytes, text_bytes, repetition_ratio, the bytes of its chapters, books and
     whole, and published_bytes, all of them. The ratio has three places, half-even on the binary value, as ``ratio`` has."""
-    texts = entries.groupBy("module").agg(
-        F.sum("copies").cast("long").alias("source_entry_count"), F.sum(F.col("copies") * utf8_bytes(text)).cast("long").alias("source_text_bytes"), F.sum(utf8_bytes(text)).cast("long").alias("text_bytes"),
+    whole, is_book = F.col("book").isNull(), F.col("book").isNotNull() & F.col("chapter").isNull()
+    at = lambda when, name="bytes": F.coalesce(F.sum(F.when(when, F.col(name))), F.lit(0)).cast("long")
+    blocks = storage_levels(entries, modules, books, text).groupBy("module").agg(
+        at(whole, "source_entries").alias("source_entry_count"), at(whole, "source_bytes").alias("source_text_bytes"), at(whole, "text_bytes").alias("text_bytes"),
+        at(F.col("chapter").isNotNull()).alias("chapter_bytes"), at(is_book).alias("book_bytes"), at(whole).alias("commentary_bytes"), F.sum("bytes").cast("long").alias("published_bytes"),
     )
-    at = lambda when: F.coalesce(F.sum(F.when(when, F.col("bytes"))), F.lit(0)).cast("long")
-    levels = storage_levels(entries, modules, books).groupBy("module").agg(
-        at(F.col("chapter").isNotNull()).alias("chapter_bytes"), at(F.col("book").isNotNull() & F.col("chapter").isNull()).alias("book_bytes"), at(F.col("book").isNull()).alias("commentary_bytes"),
-    )
-    rounded = ratio_column(F.col("source_text_bytes"), F.col("text_bytes"))
-    return texts.join(levels, "module").select("module", "source_entry_count", "source_text_bytes", "text_bytes", rounded.alias("repetition_ratio"), "chapter_bytes", "book_bytes", "commentary_bytes", (F.col("chapter_bytes") + F.col("book_bytes") + F.col("commentary_bytes")).alias("published_bytes"))
+    names = ["source_entry_count", "source_text_bytes", "text_bytes", "repetition_ratio", "chapter_bytes", "book_bytes", "commentary_bytes", "published_bytes"]
+    return blocks.withColumn("repetition_ratio", ratio_column("source_text_bytes", "text_bytes")).select("module", *names)
 
 
 @F.pandas_udf(DoubleType())

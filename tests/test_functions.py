@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.functions import ids, refs, text
-from lectern.functions.render import megabytes, member_lines, pretty_shape, stable_json
+from lectern.functions.render import megabytes, member_lines, pretty_bytes, pretty_lines, stable_json
 
 
 def one(spark, column, **values):
@@ -132,9 +132,9 @@ def test_shapes_are_those_of_rendered_values(spark):
     value = F.struct(*df.columns)
     data_type = df.select(value.alias("v")).schema["v"].dataType
     for depth in (0, 2):
-        for x in df.select(value.alias("v"), pretty_shape(value, data_type, depth).alias("s")).collect():
+        for x in df.select(value.alias("v"), pretty_bytes(value, data_type, depth).alias("b"), pretty_lines(value, data_type).alias("l")).collect():
             shown = stable_json(x.v.asDict(recursive=True)).rstrip("\n").replace("\n", "\n" + "  " * depth)
-            assert (x.s.bytes, x.s.lines) == (len(shown.encode()), shown.count("\n") + 1)
+            assert (x.b, x.l) == (len(shown.encode()), shown.count("\n") + 1)
 
 
 def test_rendering():
