@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,21 +38,43 @@ def count_mismatches(rows: DataFrame, kind: str, footer: DataFrame) -> DataFrame
     return both.where("seen <> expected")
 
 
+def digests(chunks: DataFrame) -> DataFrame:
+    """(artifact_id, made): the SHA-256 of each artifact's chunks in the order of their index; a null one adds nothing.
+
+    Spark sorts the chunks within partitions by artifact and index, to disk where need be; a task goes through them a batch at a
+    time and carries the digest from one to the next, so an artifact may be larger than a worker's memory.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[tuple] = []
+        now, made = None, None
+        for batch in batches:
+            for artifact, data in zip(batch.column("artifact_id").to_pylist(), batch.column("data"), strict=True):
+                if made is None or artifact != now:
+                    if made is not None:
+                        done.append((now, made.hexdigest()))
+                    now, made = artifact, hashlib.sha256()
+                if data.is_valid:
+                    made.update(data.as_buffer())
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in done], batch.schema.field("artifact_id").type), pa.array([x for _, x in done])], ["artifact_id", "made"])
+                done = []
+            kind = batch.schema.field("artifact_id").type
+        if made is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([now], kind), pa.array([made.hexdigest()])], ["artifact_id", "made"])
+
+    dealt = chunks.select("artifact_id", "index", "data").repartition("artifact_id").sortWithinPartitions("artifact_id", "index")
+    return dealt.mapInArrow(run, f"artifact_id {chunks.schema['artifact_id'].dataType.simpleString()}, made string")
+
+
 def artifact_faults(begins: DataFrame, chunks: DataFrame, ends: DataFrame) -> DataFrame:
     """(artifact_id, fault): artifacts that are not whole. begins: artifact_id, file_type, size_expected; chunks:
     artifact_id, index, data; ends: artifact_id, size, sha256. Chunks of many artifacts may be mixed.
 
-    Chunks are counted and measured by an aggregate; only digests need an artifact's bytes in order, in one task.
+    Chunks are counted and measured by an aggregate; only digests need an artifact's bytes in order (``digests``).
     """
-
-    def digest(pdf: pd.DataFrame) -> pd.DataFrame:
-        made = hashlib.sha256()
-        for data in pdf.sort_values("index")["data"]:
-            made.update(data)
-        return pd.DataFrame({"artifact_id": pdf["artifact_id"].iloc[:1], "made": [made.hexdigest()]})
-
     sums = ordinal_gaps(chunks, ["artifact_id"], "index").join(chunks.groupBy("artifact_id").agg(F.sum(F.octet_length("data")).cast("long").alias("bytes")), "artifact_id")
-    made = chunks.groupBy("artifact_id").applyInPandas(digest, "artifact_id long, made string")
+    made = digests(chunks)
     joined = begins.join(ends, "artifact_id", "full_outer").join(sums, "artifact_id", "full_outer").join(made, "artifact_id", "left")
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     fault = (

@@ -1,20 +1,23 @@
 """Documents of a module as (path, document) tables: chapters, books and their index; entries and their index.
 
 Members follow the published order; absent ones are null here and left out when rendered. Documents that hold
-others (a book its chapters, a module its books or entries) are tables of source paths, which ``compose`` copies
-member by member, so that no row and no task holds a whole module.
+others are written in pieces: a dictionary and its index as rows of pieces (``pieces``), a commentary and its books as tables of
+source paths, at most as many as a book has chapters or a module books, which ``compose`` copies member by member.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lectern.functions.refs import BOOKS, reference_tokens, resolve_tokens
+from lectern.functions.render import member_lines, stable_json
 from lectern.operators.policy import last_value
 from lectern.operators.publish import render, write_composed
 
@@ -88,12 +91,44 @@ def entry_documents(entries: DataFrame, forward: DataFrame, backward: DataFrame,
     return rows.select("module", F.col("id").alias("entry"), F.concat_ws("/", "dictionary", F.concat("id", F.lit(".json"))).alias("path"), document.alias("document"))
 
 
+def pieces(frames: DataFrame, members: DataFrame) -> DataFrame:
+    """(path, piece, json): documents in pieces, a row each, for ``store.write_documents`` to join: no row, task or driver holds a document.
+
+    ``frames``: path, header (a struct) and member, the name of the array that ends the document; ``members``: path, rank (from 1, gapless in
+    each path) and document (a struct, or a string that is rendered already). The first piece is what comes before the array's
+    members, the last one what comes after; each member is a piece, indented, with a comma before it but for the first.
+    """
+    last = (1 << 62) + 1
+    shown = frames.select("path", F.to_json("header", {"ignoreNullFields": "false"}).alias("header"), "member")
+    filled = members.groupBy("path").agg(F.count("*").alias("n"))
+    whole = isinstance(members.schema["document"].dataType, StringType)
+    texts = members.select("path", "rank", "document" if whole else F.to_json("document", {"ignoreNullFields": "false"}).alias("document"))
+
+    def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            mark, rows = uuid.uuid4().hex, []
+            for path, header, member, n in zip(batch["path"], batch["header"], batch["member"], batch["n"], strict=True):
+                before, *after = stable_json({**json.loads(header), member: [mark] if n else []}).split(f'    "{mark}"')
+                rows += [(path, 0, before), (path, last, "".join(after))]
+            yield pd.DataFrame(rows, columns=["path", "piece", "json"])
+
+    def inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            text = [member_lines(x if whole else stable_json(json.loads(x))) for x in batch["document"]]
+            yield pd.DataFrame({"path": batch["path"], "piece": batch["rank"], "json": [x if k == 1 else f",\n{x}" for k, x in zip(batch["rank"], text, strict=True)]})
+
+    kind = "path string, piece long, json string"
+    framed = shown.join(filled, "path", "left").na.fill(0, ["n"]).mapInPandas(around, kind)
+    return framed.union(texts.mapInPandas(inside, kind))
+
+
 def composed_dictionaries(documents: DataFrame, index: DataFrame, modules: DataFrame) -> DataFrame:
-    """(path, header, member, sources): a dictionary of its entries' files in index order."""
-    placed = documents.join(index.select("module", F.col("id").alias("entry"), "rank"), ["module", "entry"])
-    per = placed.groupBy("module").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "path"))), lambda x: x["path"]).alias("sources")).join(modules, "module")
+    """(path, piece, json): each dictionary of its entries' documents, in index order. ``documents``: module, entry, document."""
+    path = F.concat("id", F.lit(".json")).alias("path")
     header = named("dictionary-v1", F.col("id").alias("dictionary"), F.col("language"), F.col("description").alias("name"))
-    return per.select(F.concat("id", F.lit(".json")).alias("path"), F.to_json(header).alias("header"), F.lit("entries").alias("member"), "sources")
+    members = documents.select("module", "entry", "document").join(index.select("module", F.col("id").alias("entry"), "rank"), ["module", "entry"]).join(modules, "module")
+    held = documents.select("module").distinct().join(modules, "module")
+    return pieces(held.select(path, header.alias("header"), F.lit("entries").alias("member")), members.select(path, "rank", "document"))
 
 
 def compose(composed: DataFrame, folder: str) -> DataFrame:
@@ -145,12 +180,13 @@ def catalog(records: DataFrame, kind: str) -> DataFrame:
 
 
 def index_documents(index: DataFrame, counts: DataFrame, modules: DataFrame) -> DataFrame:
-    """(path, document): each dictionary's search index, its records in index order. ``counts``: module, unique_keys."""
-    record = F.struct("rank", F.struct("id", "key", "search", "aliases", "occurrence").alias("record"))
-    per = index.groupBy("module").agg(F.transform(F.array_sort(F.collect_list(record), lambda a, b: F.when(a["rank"] < b["rank"], -1).otherwise(1)), lambda x: x["record"]).alias("entries"))
-    rows = per.join(counts, "module").join(modules, "module")
-    document = named(
+    """(path, piece, json): each dictionary's search index, a record a piece, in index order. ``counts``: module, unique_keys."""
+    path = F.concat_ws("/", "id", F.lit("index.json")).alias("path")
+    per = index.groupBy("module").agg(F.count("*").alias("n")).join(counts, "module").join(modules, "module")
+    header = named(
         "dictionary-index-v1", F.col("id").alias("dictionary"), F.col("language"), F.col("description").alias("name"), F.lit("{entry}.json").alias("entry_url_template"),
-        F.size("entries").alias("entry_count"), F.col("unique_keys").alias("unique_key_count"), F.col("entries"),
+        F.col("n").alias("entry_count"), F.col("unique_keys").alias("unique_key_count"),
     )
-    return rows.select(F.concat_ws("/", "id", F.lit("index.json")).alias("path"), document.alias("document"))
+    record = F.struct("id", "key", "search", "aliases", "occurrence").alias("document")
+    records = index.select("module", "rank", record).join(modules.select("module", "id"), "module")
+    return pieces(per.select(path, header.alias("header"), F.lit("entries").alias("member")), records.select(path, "rank", "document"))

@@ -1,6 +1,7 @@
 """A store of documents as a Spark data source: exactly named files, written by tasks and made visible by the driver's commit.
 
-``df.write.format("documents").mode("append").save(folder)`` takes path and json. Each task attempt writes below a hidden folder of
+``df.write.format("documents").mode("append").save(folder)`` takes path and json, and perhaps piece: then rows of one path that follow
+each other are its pieces, and a document may be larger than any memory. Each task attempt writes below a hidden folder of
 its own and sends that folder's name; the commit notes the folders of the attempts that count and moves their files into place,
 each replacing what had its name in one step. Attempts that were killed or lost are never noted, so their files are never seen; an
 aborted job leaves nothing. ``spark.read.format("documents").load(folder)`` gives the visible documents as path and json.
@@ -15,6 +16,7 @@ import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyarrow import fs
 from pyspark import TaskContext
@@ -55,26 +57,45 @@ class DocumentsWriter(DataSourceWriter):
         if not {"path", "json"} <= set(columns):
             raise ValueError("documents have the columns path and json")
         self.folder, self.ceiling, self.job = folder, ceiling, HIDDEN + uuid.uuid4().hex
-        self.at = columns.index("path"), columns.index("json")
+        self.at = columns.index("path"), columns.index("json"), columns.index("piece") if "piece" in columns else None
 
     def write(self, rows: Iterator[Row]) -> Staged:
         store, base = opened(self.folder)
         task = TaskContext.get()
         attempt = f"{task.partitionId()}-{task.taskAttemptId()}" if task else uuid.uuid4().hex
-        here, seen, size = posixpath.join(base, self.job, attempt), set(), 0
-        for row in rows:
-            path, data = safe_path(row[self.at[0]]), row[self.at[1]].encode()
+        here, seen, total = posixpath.join(base, self.job, attempt), set(), 0
+        for path, parts in self._documents(rows):
             if not path.endswith(".json") or any(x.startswith(".") for x in path.split("/")) or path in seen:
                 raise ValueError(f"{path} is written twice, hidden, or no .json")
-            if self.ceiling and len(data) > self.ceiling:
-                raise ValueError(f"{path} has {len(data)} bytes, over the ceiling of {self.ceiling}")
-            target = posixpath.join(here, path)
+            target, size = posixpath.join(here, path), 0
             store.create_dir(posixpath.dirname(target), recursive=True)
             with store.open_output_stream(target) as out:
-                out.write(data)
+                for data in parts:
+                    size += len(data)
+                    if self.ceiling and size > self.ceiling:
+                        raise ValueError(f"{path} has {size} bytes or more, over the ceiling of {self.ceiling}")
+                    out.write(data)
             seen.add(path)
-            size += len(data)
-        return Staged(attempt, len(seen), size)
+            total += size
+        return Staged(attempt, len(seen), total)
+
+    def _documents(self, rows: Iterator[Row]) -> Iterator[tuple[str, Iterator[bytes]]]:
+        """Each path with its pieces, which must rise; without the column piece, a row is a document."""
+        path, text, piece = self.at
+        if piece is None:
+            yield from ((safe_path(row[path]), iter([row[text].encode()])) for row in rows)
+            return
+        for name, parts in groupby(rows, lambda row: row[path]):
+
+            def rising(parts=parts, name=name):
+                last = None
+                for row in parts:
+                    if last is not None and row[piece] <= last:
+                        raise ValueError(f"pieces of {name} are out of order")
+                    last = row[piece]
+                    yield row[text].encode()
+
+            yield safe_path(name), rising()
 
     def commit(self, messages: list[Staged | None]) -> None:
         """The note is the point of no return: a commit that is cut short after it is finished by ``recover``."""
@@ -174,7 +195,9 @@ class Documents(DataSource):
 
 
 def write_documents(documents: DataFrame, folder: str, ceiling: int = 0) -> None:
-    """Publishes (path, json), all or none; each replaces the document of its name."""
+    """Publishes (path, json) or (path, piece, json), all or none; each replaces the document of its name."""
+    if "piece" in documents.columns:
+        documents = documents.repartition("path").sortWithinPartitions("path", "piece")
     documents.sparkSession.dataSource.register(Documents)
     documents.write.format("documents").option("ceiling", ceiling).mode("append").save(folder)
 

@@ -2,10 +2,13 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from lectern.functions import refs
+from lectern.functions.render import stable_json
 from lectern.operators import checks, collapse, commentary, documents, lexicon, publish, validate
+from lectern.sources import store
 
 ENTRY = "module string, ordinal long, key string, raw string, html string, plain string, verse struct<osis:string,testament:int,book:int,chapter:int,verse:int>"
 MODULES = "module string, id string, language string, description string"
@@ -65,15 +68,18 @@ def test_dictionary(spark, tmp_path):
     ahead, back = lexicon.neighbours(edges), lexicon.neighbours(edges, forward=False)
     index = lexicon.search_index(named)
     made = documents.entry_documents(named, ahead, back, modules)
-    publish.stage(documents.rendered(made.select("path", "document")).union(documents.rendered(documents.index_documents(index, lexicon.unique_keys(named), modules))), str(tmp_path)).count()
-    documents.compose(documents.composed_dictionaries(made, index, modules), str(tmp_path)).count()
+    store.write_documents(documents.rendered(made.select("path", "document")).select("path", "json"), str(tmp_path))
+    store.write_documents(documents.index_documents(index, lexicon.unique_keys(named), modules), str(tmp_path))
+    store.write_documents(documents.composed_dictionaries(made, index, modules), str(tmp_path))
+    for path in ("dic.json", "dic/index.json"):
+        assert (tmp_path / path).read_text() == stable_json(load(tmp_path, path))
     zeta, alpha = load(tmp_path, "dic/k-Zeta.json"), load(tmp_path, "dic/k-Alpha.json")
     assert zeta["see_also"] == [{"id": "k-Alpha", "key": "Alpha"}] and alpha["backlinks"] == [{"id": "k-Zeta", "key": "Zeta"}]
     assert zeta["references"] == [{"osis": "John.3.16", "book": 43, "chapter": 3, "verse": 16}] and "see_also" not in alpha and alpha["text"] == "a"
     shown = load(tmp_path, "dic/index.json")
     assert [x["key"] for x in shown["entries"]] == ["03056", "Alpha", "Zeta"] and shown["unique_key_count"] == 3
     assert shown["entries"][0] == {"id": "G3056", "key": "03056", "search": "03056", "aliases": ["03056", "G3056"]} and "aliases" not in shown["entries"][1]
-    assert [x["id"] for x in load(tmp_path, "dic.json")["entries"]] == ["G3056", "k-Alpha", "k-Zeta"]
+    assert load(tmp_path, "dic.json")["entries"] == [load(tmp_path, f"dic/{x}.json") for x in ("G3056", "k-Alpha", "k-Zeta")]
     records = spark.createDataFrame([("dic", "A dictionary", None)], "id string, name string, strong_prefix string")
     found = json.loads(documents.rendered(documents.catalog(records, "dictionaries")).first().json)
     assert found["dictionaries"] == [{"id": "dic", "name": "A dictionary", "strong_prefix": None}]
@@ -89,3 +95,34 @@ def test_metadata(spark):
     assert found.path == "com/metadata.json" and (shown["book_count"], shown["entry_count"], shown["about"], shown["versification"], shown["copyright_contact"]["email"]) == (2, 5, "new", "KJVA", "")
     stamp = json.loads(documents.rendered(documents.build_stamp(modules, "commentaries", "1.0", F.lit("2026-01-02 03:04:05").cast("timestamp"))).first().json)
     assert stamp["generated_at"] == "2026-01-02T03:04:05Z" and stamp["module_count"] == 1
+
+
+def test_pieces_of_a_large_and_an_empty_document(spark, tmp_path):
+    """Documents are the same whether or not they were ever one string; one has no member."""
+    frames = spark.createDataFrame([("a.json", 5000), ("b/none.json", 0), ("c.json", 1)], "path string, n long").withColumn("header", F.struct(F.col("n"), F.lit(None).cast("string").alias("gone"))).withColumn("member", F.lit("list"))
+    members = spark.range(1, 5001).select(F.lit("a.json").alias("path"), F.col("id").alias("rank"), F.struct(F.concat(F.lit("é"), "id").alias("t")).alias("document")).union(spark.sql("select 'c.json' as path, 1L as rank, struct('x' as t) as document"))
+    store.write_documents(documents.pieces(frames, members), str(tmp_path))
+    for path, rows in (("a.json", [{"t": f"é{k}"} for k in range(1, 5001)]), ("b/none.json", []), ("c.json", [{"t": "x"}])):
+        assert (tmp_path / path).read_text() == stable_json({"n": len(rows), "list": rows})
+    bad = spark.createDataFrame([("a.json", 1, "x"), ("a.json", 1, "y")], "path string, piece long, json string")
+    with pytest.raises(Exception, match="out of order"):
+        store.write_documents(bad, str(tmp_path / "bad"))
+    assert not [x for x in (tmp_path / "bad").rglob("*") if x.is_file()]
+
+
+def test_markup_members(spark):
+    kind = spark.sql("select struct(1 as a, array(struct('x' as HTML, 2 as b)) as list, struct('y' as html) as s) as d").schema["d"].dataType
+    assert validate.markup_members(kind) == ["list.HTML", "s.html"]
+    rows = spark.createDataFrame([("m/index.json",), ("m/1.json",), ("index.json/k",)], "path string")
+    assert [x.path for x in validate.claimed_names(rows).collect()] == ["m/index.json"]
+
+
+def test_rules_are_counted_while_rows_are_written(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 4).select(F.format_string("p%04d", "id").alias("path"), F.when(F.col("id") % 10 == 0, None).otherwise(F.col("id")).alias("x"))
+    rules = {"known": F.col("x").isNotNull(), "small": F.col("x") < 990, "any": F.lit(True)}
+    report = {x.rule: x for x in validate.write_checked(rows, rules, str(tmp_path / "t")).collect()}
+    assert {k: (x.rows, x.broken) for k, x in report.items()} == {"known": (1000, 100), "small": (1000, 109), "any": (1000, 0)}
+    assert report["known"].problems == [f"p{k:04d}" for k in range(0, 200, 10)] and report["any"].problems == [] and len(report["small"].problems) == 20
+    assert spark.read.parquet(str(tmp_path / "t")).where("broken is null").count() == 891
+    empty = validate.write_checked(rows.limit(0), rules, str(tmp_path / "e")).collect()
+    assert [(x.rows, x.broken, x.problems) for x in empty] == [(0, 0, [])] * 3

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import io
 import json
+import random
 import tarfile
 
 import pytest
@@ -63,7 +64,7 @@ def stream(records, footer=None, change=None):
     return "".join(lines) if change is None else change("".join(lines))
 
 
-HEAD = [{"type": "header", "command": "extract"}, {"type": "module", "name": bv("M")}, {"type": "config_entry", "ordinal": 0, "name": "Feature", "value": bv("A")}, {"type": "config_entry", "ordinal": 1, "name": "feature", "value": bv("B")}]
+HEAD = [{"type": "header", "command": "extract"}, {"type": "module", "name": bv("M")}, {"type": "config_entry", "ordinal": 0, "name": "Feature", "value": bv("A")}, {"type": "config_entry", "ordinal": 1, "name": bv("FEATURE"), "value": bv("B")}]
 ENTRIES = [
     {"type": "entry", "ordinal": 0, "key": bv("John 1:1"), "raw": bv("see Gen.1.1"), "stripped": bv("text"), "scope": {"type": "verse_key", "testament": 2, "book": 4, "chapter": 1, "verse": 1, "osis_reference": bv("John.1.1")}},
     {"type": "entry", "ordinal": 1, "key": bv("x"), "raw": bv("é")},
@@ -110,6 +111,78 @@ def test_broken_streams(why):
         take(BROKEN[why])
 
 
+def test_contract(spark, tmp_path):
+    (tmp_path / "a.ndjson").write_text(stream([{"type": "header", "command": "extract", "contract": "c/1"}, *HEAD[1:]]))
+    assert ndjson.read_streams(spark, str(tmp_path), "c/1").count() == len(HEAD) + 1 == ndjson.read_streams(spark, str(tmp_path)).count()
+    with pytest.raises(Exception, match="another contract"):
+        ndjson.read_streams(spark, str(tmp_path), "c/2").count()
+
+
+def test_texts_of_byte_values_are_strict():
+    raw = b"\xed\xa0\x80"
+    value = {"base64": base64.b64encode(raw).decode(), "encoding": "base64", "sha256": hashlib.sha256(raw).hexdigest(), "size": 3}
+    assert ndjson.byte_value(value) == raw
+    with pytest.raises(ndjson.StreamError, match="another text"):
+        ndjson.byte_value(value | {"utf8": "\ud800"})
+
+
+def test_modules(spark, tmp_path):
+    about = {x: bv(f"its {x}") for x in ndjson.ABOUT}
+    settings = [("Feature", "old"), ("FEATURE", "StrongsHebrew"), ("Language", "he"), ("classification", "mine"), ("Straße", "x")]
+    entries = [{"type": "config_entry", "ordinal": k, "name": bv(x), "value": bv(y)} for k, (x, y) in enumerate(settings)]
+    (tmp_path / "a.ndjson").write_text(stream([HEAD[0], {"type": "module", "classification": "dictionary", **about}, *entries]))
+    (tmp_path / "b.ndjson").write_text(stream([HEAD[0], {"type": "module", **about}]))
+    rows = ndjson.read_streams(spark, str(tmp_path / "a.ndjson")).union(ndjson.read_streams(spark, str(tmp_path / "b.ndjson")))
+    found = {x.module[-8]: x for x in ndjson.described_stream(rows).collect()}
+    base = {x: f"its {x}" for x in ndjson.ABOUT}
+    assert found["a"].metadata == base | {"feature": "StrongsHebrew", "language": "he", "classification": "mine", "strasse": "x"}
+    assert found["a"].fields == {"feature": ["old", "StrongsHebrew"], "language": ["he"], "classification": ["mine"], "strasse": ["x"]}
+    assert (found["a"].language, found["a"].prefix, found["a"].classification) == ("he", "H", "mine")
+    assert found["b"].metadata == base | {"classification": "unknown"} and found["b"].fields == {} and found["b"].prefix is None
+    broken = spark.createDataFrame([("c", 1, "module", '{"name": {"base64": ""}}')], ndjson.ROW)
+    with pytest.raises(Exception, match="module record without driver"):
+        ndjson.modules(broken).collect()
+
+
+def test_digests_carry_from_batch_to_batch(spark):
+    """Artifacts of many chunks, mixed, over small batches: digests are those of their whole bytes."""
+    from lectern.operators import checks
+
+    sizes = {0: 700, 1: 1, 2: 0, 3: 40, None: 3}
+    rows = [(a, k, bytes([k % 251]) * (k % 7)) for a, n in sizes.items() for k in range(n)] + [(3, 40, None)]
+    wanted = {a: hashlib.sha256(b"".join(bytes([k % 251]) * (k % 7) for k in range(n))).hexdigest() for a, n in sizes.items() if n}
+    chunks = spark.createDataFrame(rows[::-1], "artifact_id long, index long, data binary")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        assert {x.artifact_id: x.made for x in checks.digests(chunks).collect()} == wanted
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert checks.digests(chunks.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_chapters_split_over_files(spark, tmp_path, parts):
+    """Files split at any line give the rows of the whole, also where a passage grows in a later batch."""
+    from lectern.operators.commentary import commentary_entries
+
+    rng = random.Random(parts)
+    rows = [
+        {"module": "c", "ordinal": k, "key": "k", "raw": f"see Gen.{k % 3 + 1}.1", "html": "", "plain": f"t{rng.randint(0, 6)}", "verse": {"osis": f"John.1.{k}" if k % 4 else "", "testament": 2, "book": 4, "chapter": k % 2, "verse": rng.randint(0, 30)}} for k in range(60)
+    ]
+    rng.shuffle(rows)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for k in range(parts):
+        (folder / f"{k}.json").write_text("".join(json.dumps(x) + "\n" for x in rows[k::parts]))
+    for _ in range(2):
+        ingest.collapse_into(ingest.entry_stream(spark, str(folder), files_a_batch=2), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(120)
+    found = ingest.collapsed(spark, str(tmp_path / "out"))
+    whole = commentary_entries(commentary_rows(spark.read.schema(ingest.ENTRY).json(str(folder))))
+    assert sorted(map(repr, found.select(*whole.columns).collect())) == sorted(map(repr, whole.collect()))
+    assert found.count() < len(rows)
+
+
 def test_ingest(spark, tmp_path):
     (tmp_path / "in").mkdir()
     row = {"module": "c", "ordinal": 0, "key": "k", "raw": "", "html": "", "plain": "t", "verse": {"osis": "John.1.1", "testament": 2, "book": 4, "chapter": 1, "verse": 1}}
