@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -146,37 +146,65 @@ def rendered(documents: DataFrame) -> DataFrame:
     return render(documents, F.col("path"), F.col("document"))
 
 
-def _about(kind: str, *counts: Column) -> Column:
-    """What every module's metadata says; ``fields`` is the module's configuration, ``counts`` what was published."""
+# Where the documents of a resource are, as its metadata and its catalog say.
+METADATA_URLS = {
+    "commentary": {"books_url": "books.json", "book_url_template": "{book}.json", "chapter_url_template": "{book}/{chapter}.json"},
+    "dictionary": {"index_url": "index.json", "entry_url_template": "{entry}.json"},
+}
+CATALOG_URLS = {
+    "commentaries": {
+        "metadata_url_template": "{commentary}/metadata.json", "books_url_template": "{commentary}/books.json", "commentary_url_template": "{commentary}.json",
+        "book_url_template": "{commentary}/{book}.json", "chapter_url_template": "{commentary}/{book}/{chapter}.json",
+    },
+    "dictionaries": {"metadata_url_template": "{dictionary}/metadata.json", "index_url_template": "{dictionary}/index.json", "dictionary_url_template": "{dictionary}.json", "entry_url_template": "{dictionary}/{entry}.json"},
+}
+
+
+def quoted(text: Column) -> Column:
+    """Percent-encoded, all but letters, digits and ``_.-~``."""
+    return F.replace(F.replace(F.replace(F.url_encode(text), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
+def metadata_documents(modules: DataFrame, counts: DataFrame, kind: str, source: str = "", source_url: str = "", note: str = "") -> DataFrame:
+    """(path, document): what each module is and how much of it was published. ``modules``: as described, with module, id and
+    fields, its configuration; ``counts``: module and the columns to show, in order; ``source``, ``source_url`` (to which the module's quoted
+    name is added) and ``note`` say where modules come from and what was done to them."""
     get = lambda name, default="": last_value(F.col("fields"), name, default)
+    shown = [F.col(x) for x in counts.columns if x != "module"]
     contact = F.struct(get("copyrightcontactname").alias("name"), get("copyrightcontactemail").alias("email"), get("copyrightcontactaddress").alias("address"))
-    return named(
+    document = named(
         f"{kind}-metadata-v1", F.col("id"), F.col("module"), F.col("description").alias("name"), F.col("language"), F.col("version"), F.col("license"), F.col("driver"),
-        get("sourcetype").alias("source_type"), *([get("versification", "KJV").alias("versification")] if kind == "commentary" else []), *counts, get("textsource").alias("text_source"),
-        get("copyright").alias("copyright"), get("copyrightholder").alias("copyright_holder"), contact.alias("copyright_contact"), get("distributionnotes").alias("distribution_notes"), get("about").alias("about"),
+        get("sourcetype").alias("source_type"), *([get("versification", "KJV").alias("versification")] if kind == "commentary" else []), *shown,
+        *[F.lit(url).alias(name) for name, url in METADATA_URLS[kind].items()], F.lit(source).alias("source"), F.concat(F.lit(source_url), quoted(F.col("module"))).alias("source_module_url"),
+        get("textsource").alias("text_source"), get("copyright").alias("copyright"), get("copyrightholder").alias("copyright_holder"), contact.alias("copyright_contact"),
+        get("distributionnotes").alias("distribution_notes"), get("about").alias("about"), F.lit(note).alias("conversion_note"),
     )
+    return modules.join(counts, "module").select(F.concat_ws("/", "id", F.lit("metadata.json")).alias("path"), document.alias("document"))
 
 
-def metadata_documents(modules: DataFrame, counts: DataFrame, kind: str) -> DataFrame:
-    """(path, document): what each module is and how much of it was published. ``modules``: as described, with module and
-    id; ``counts``: module and the columns to show, in order."""
-    shown = [F.col(x) for x in counts.columns if x != "module"]
-    return modules.join(counts, "module").select(F.concat_ws("/", "id", F.lit("metadata.json")).alias("path"), _about(kind, *shown).alias("document"))
+def stamp(at: Column | None = None) -> Column:
+    """A time, by default now, in UTC to the second."""
+    return F.date_format(F.to_utc_timestamp(at if at is not None else F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def build_stamp(records: DataFrame, kind: str, version: str, at: Column | None = None) -> DataFrame:
     """(path, document): when a resource was built, by what, and how many modules it has."""
-    when = F.date_format(F.to_utc_timestamp(at if at is not None else F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     document = F.struct(F.lit(version).alias("builder_version"), F.lit(1).alias("api_version"), F.lit(kind).alias("resource"), F.first("at").alias("generated_at"), F.count("id").alias("module_count"))
-    return records.withColumn("at", when).agg(document.alias("document")).select(F.lit("build.json").alias("path"), "document")
+    return records.withColumn("at", stamp(at)).agg(document.alias("document")).select(F.lit("build.json").alias("path"), "document")
 
 
-def catalog(records: DataFrame, kind: str) -> DataFrame:
-    """(path, document): the catalog of a resource, its modules by id. ``records``: id and whatever a record shows."""
-    fields = [F.col(x) for x in records.columns if x != "id"]
-    rows = records.agg(F.count("*").alias("module_count"), F.array_sort(F.collect_list(F.struct("id", *fields))).alias("records"))
-    document = named(f"{kind}-catalog-v1", F.lit(1).alias("version"), F.col("module_count"), F.col("records").alias(kind))
-    return rows.select(F.lit(f"{kind}.json").alias("path"), document.alias("document"))
+def catalog(records: DataFrame, kind: str, base_url: str = "", at: Column | None = None) -> DataFrame:
+    """(path, piece, json): the catalog of a resource, its modules by id, a record a piece. ``records``: id and whatever a record
+    shows, a row a module; an empty table gives a catalog of none."""
+    path = F.lit(f"{kind}.json").alias("path")
+    shown = F.struct("id", *[F.col(x) for x in records.columns if x != "id"]).alias("document")
+    placed = records.select(path, F.row_number().over(Window.orderBy("id")).cast("long").alias("rank"), shown)  # a row a module
+    header = named(
+        f"{kind}-catalog-v1", F.lit(1).alias("version"), stamp(at).alias("generated_at"), F.lit(base_url).alias("base_url"),
+        *[F.lit(url).alias(name) for name, url in CATALOG_URLS[kind].items()], F.col("module_count"),
+    )
+    frame = records.agg(F.count("*").alias("module_count")).select(path, header.alias("header"), F.lit(kind).alias("member"))
+    return pieces(frame, placed)
 
 
 def index_documents(index: DataFrame, counts: DataFrame, modules: DataFrame) -> DataFrame:

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lectern.functions import refs
 from lectern.functions.ids import canonical_number, number_prefix
 from lectern.functions.refs import coordinates, reference_tokens
 from lectern.functions.text import license_text, public_text_col, slug_col
-from lectern.functions import refs
 from lectern.operators import checks, collapse, commentary, documents, lexicon, policy, publish, validate
-from lectern.sources import shapes, store
+from lectern.sources import ndjson, shapes, store
 from lectern.sources.shared import scratch, written
+from lectern.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -616,3 +617,55 @@ def validation_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def linked_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = named_pages(spark, sf_dir)
     return validate.linked_count(named, lexicon.neighbours(edges_of(spark, sf_dir, named))).select("entries", "linked")
+
+
+@query("""SELECT p_partkey, map_keys AS names, language, feature, prefix FROM (
+  SELECT p_partkey, 'classification,description,driver,feature,language,name,sword_type' AS map_keys, p_type AS language, CASE WHEN p_size % 2 = 0 THEN 'GreekDef' ELSE 'none' END AS feature,
+    CASE WHEN p_size % 2 = 0 THEN 'G' WHEN p_partkey % 3 = 0 THEN 'H' END AS prefix FROM part)""")
+def module_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as modules of record streams: a module record each, and settings of which the last ones are laid over it."""
+
+    def value(text: F.Column) -> F.Column:
+        packed = F.regexp_replace(F.base64(F.encode(text, "UTF-8")), "[\r\n]", "")
+        return F.struct(packed.alias("base64"), F.lit("base64").alias("encoding"), F.sha2(text, 256).alias("sha256"), F.octet_length(text).cast("long").alias("size"))
+
+    part, n = table(spark, sf_dir, "part"), F.col("p_partkey")
+    about = F.when(n % 3 == 0, F.concat(F.lit("Strong Hebrew "), "p_name")).otherwise(F.col("p_name"))
+    module = F.struct(value(about).alias("description"), value(F.lit("d")).alias("driver"), value(F.lit("en")).alias("language"), value(F.col("p_name")).alias("name"), value(F.lit("s")).alias("sword_type"))
+    setting = lambda k, name, text: F.struct(value(F.lit(name)).alias("name"), F.lit(k).alias("ordinal"), value(text).alias("value"))
+    settings = [setting(0, "Language", F.col("p_brand")), setting(1, "Feature", F.when(F.col("p_size") % 2 == 0, "GreekDef").otherwise("none")), setting(2, "LANGUAGE", F.col("p_type"))]
+    lines = [("module", F.to_json(module)), *[("config_entry", F.to_json(x)) for x in settings]]
+    rows = part.select(n.cast("string").alias("file"), F.explode(F.array(*[F.struct(F.lit(k).alias("sequence"), F.lit(kind).alias("type"), x.alias("record")) for k, (kind, x) in enumerate(lines)])).alias("r")).select("file", "r.*")
+    found = ndjson.described_stream(rows)
+    return found.select(F.col("module").cast("long").alias("p_partkey"), F.array_join(F.array_sort(F.map_keys("metadata")), ",").alias("names"), "language", F.try_element_at("metadata", F.lit("feature")).alias("feature"), "prefix")
+
+
+@query(rf"""WITH {BASES}, records AS (
+  SELECT row_number() OVER (ORDER BY search, folded, occurrence, ordinal) AS rank, '    {{' || chr(10) || '      "id": ' || to_json(id)::VARCHAR || ',' || chr(10) || '      "key": ' || to_json(key)::VARCHAR || ',' || chr(10)
+    || '      "search": ' || to_json(search)::VARCHAR || CASE WHEN occurrence > 1 THEN ',' || chr(10) || '      "occurrence": ' || occurrence ELSE '' END || chr(10) || '    }}' AS record FROM named
+), whole AS (
+  SELECT '{{' || chr(10) || '  "schema": "dictionary-index-v1",' || chr(10) || '  "dictionary": "pages",' || chr(10) || '  "language": "en",' || chr(10) || '  "name": "All pages",' || chr(10) || '  "entry_url_template": "{{entry}}.json",' || chr(10)
+    || '  "entry_count": ' || count(*) || ',' || chr(10) || '  "unique_key_count": ' || (SELECT count(DISTINCT folded) FROM named) || ',' || chr(10) || '  "entries": [' || chr(10) || string_agg(record, ',' || chr(10) ORDER BY rank) || chr(10) || '  ]' || chr(10) || '}}' || chr(10) AS json
+  FROM records
+) SELECT 'pages/index.json' AS path, sha256(json) AS sha256, CAST(octet_length(encode(json)) AS BIGINT) AS size FROM whole""")
+def index_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index of all pages as one published document, written a record at a time and read back by its bytes."""
+    named = searched_pages(spark, sf_dir)
+    modules = named.select("module").distinct().select("module", F.col("module").alias("id"), F.lit("en").alias("language"), F.lit("All pages").alias("description"))
+    folder = scratch(spark, "published")
+    store.write_documents(documents.index_documents(lexicon.search_index(named), lexicon.unique_keys(named), modules), folder)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").load(folder)
+    return files.select(F.concat_ws("/", F.slice(F.split("path", "/"), -2, 2)).alias("path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+
+
+@query("""SELECT book, chapter, min(verse) AS verse, text, array_to_string(list_sort(list(DISTINCT verse)), ',') AS covered, count(*) AS copies
+FROM (SELECT conv_id % 66 + 1 AS book, conv_id AS chapter, turn AS verse, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS text FROM conversations) WHERE text <> '' GROUP BY book, chapter, text""")
+def stream_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as entries of commentaries that arrive in files, dealt so that a chapter comes in pieces; passages keep what they cover as state."""
+    verse = F.struct(F.lit(None).cast("string").alias("osis"), F.when(F.col("conv_id") % 66 < 39, 1).otherwise(2).alias("testament"), F.when(F.col("conv_id") % 66 < 39, F.col("conv_id") % 66 + 1).otherwise(F.col("conv_id") % 66 - 38).cast("int").alias("book"), F.col("conv_id").cast("int").alias("chapter"), F.col("turn").cast("int").alias("verse"))
+    rows = table(spark, sf_dir, "conversations").select(F.lit("c").alias("module"), F.col("turn").cast("long").alias("ordinal"), F.lit("").alias("key"), F.lit("").alias("raw"), F.lit("").alias("html"), F.col("text").alias("plain"), verse.alias("verse"))
+    arrived, found = scratch(spark, "arrived"), scratch(spark, "collapsed")
+    rows.repartition(12, F.xxhash64("ordinal", "plain")).write.json(arrived)
+    ingest.collapse_into(ingest.entry_stream(spark, arrived, files_a_batch=4), found, scratch(spark, "progress")).awaitTermination()
+    got = ingest.collapsed(spark, found)
+    return got.select(F.col("book").cast("long").alias("book"), F.col("chapter").cast("long").alias("chapter"), F.col("verse").cast("long").alias("verse"), "text", joined("covered"), "copies")

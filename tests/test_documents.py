@@ -1,6 +1,7 @@
 """Modules published end to end: rows, documents, files, manifest, and the invariants of what was published."""
 
 import json
+import urllib.parse
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,8 +82,15 @@ def test_dictionary(spark, tmp_path):
     assert shown["entries"][0] == {"id": "G3056", "key": "03056", "search": "03056", "aliases": ["03056", "G3056"]} and "aliases" not in shown["entries"][1]
     assert load(tmp_path, "dic.json")["entries"] == [load(tmp_path, f"dic/{x}.json") for x in ("G3056", "k-Alpha", "k-Zeta")]
     records = spark.createDataFrame([("dic", "A dictionary", None)], "id string, name string, strong_prefix string")
-    found = json.loads(documents.rendered(documents.catalog(records, "dictionaries")).first().json)
-    assert found["dictionaries"] == [{"id": "dic", "name": "A dictionary", "strong_prefix": None}]
+    at = F.lit("2026-01-02 03:04:05").cast("timestamp")
+    store.write_documents(documents.catalog(records, "dictionaries", "https://example.org/v1/", at), str(tmp_path))
+    assert list(load(tmp_path, "dictionaries.json").items()) == [
+        ("schema", "dictionaries-catalog-v1"), ("version", 1), ("generated_at", "2026-01-02T03:04:05Z"), ("base_url", "https://example.org/v1/"), ("metadata_url_template", "{dictionary}/metadata.json"),
+        ("index_url_template", "{dictionary}/index.json"), ("dictionary_url_template", "{dictionary}.json"), ("entry_url_template", "{dictionary}/{entry}.json"), ("module_count", 1),
+        ("dictionaries", [{"id": "dic", "name": "A dictionary", "strong_prefix": None}]),
+    ]
+    store.write_documents(documents.catalog(records.limit(0), "commentaries", at=at), str(tmp_path))
+    assert load(tmp_path, "commentaries.json")["commentaries"] == []
     assert made.where(F.col("entry") == "k-Empty").count() == 0
 
 
@@ -93,6 +101,14 @@ def test_metadata(spark):
     found = documents.rendered(documents.metadata_documents(modules, counts, "commentary")).first()
     shown = json.loads(found.json)
     assert found.path == "com/metadata.json" and (shown["book_count"], shown["entry_count"], shown["about"], shown["versification"], shown["copyright_contact"]["email"]) == (2, 5, "new", "KJVA", "")
+    full = "schema id module name language version license driver source_type versification book_count entry_count books_url book_url_template chapter_url_template source source_module_url text_source copyright copyright_holder copyright_contact distribution_notes about conversion_note"
+    assert list(shown) == full.split() and list(shown["copyright_contact"]) == ["name", "email", "address"]
+    names = spark.createDataFrame([("a b/ü~*_.-(",)], "module string")
+    assert names.select(documents.quoted(F.col("module")).alias("q")).first().q == urllib.parse.quote("a b/ü~*_.-(", safe="")
+    counts = spark.createDataFrame([("Com", 7, 6, None, 99)], "module string, entry_count long, unique_key_count long, strong_prefix string, bytes long")
+    shown = json.loads(documents.rendered(documents.metadata_documents(modules, counts, "dictionary", "Src", "https://example.org/?m=", "Converted.")).first().json)
+    full = "schema id module name language version license driver source_type entry_count unique_key_count strong_prefix bytes index_url entry_url_template source source_module_url text_source copyright copyright_holder copyright_contact distribution_notes about conversion_note"
+    assert list(shown) == full.split() and (shown["source"], shown["source_module_url"], shown["conversion_note"], shown["strong_prefix"]) == ("Src", "https://example.org/?m=Com", "Converted.", None)
     stamp = json.loads(documents.rendered(documents.build_stamp(modules, "commentaries", "1.0", F.lit("2026-01-02 03:04:05").cast("timestamp"))).first().json)
     assert stamp["generated_at"] == "2026-01-02T03:04:05Z" and stamp["module_count"] == 1
 
