@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.ids import aliases, canonical_number, clean_target, encoded_id, hashed_id, link_candidates
 from lectern.functions.text import fold_col, public_text_col, search_fold_col, strip_col
+from lectern.operators.numbering import row_numbers
 from lectern.sources.shared import scratch, written
 
 
@@ -31,14 +32,14 @@ def _numbered(rows: DataFrame) -> DataFrame:
     """Adds name, the id without a number, occurrence and claim, the folded id. ``rows``: diverted says who is named by its hash."""
     name, folded = F.when(F.col("diverted"), F.col("hash")), F.when(F.col("diverted"), F.col("hash")).otherwise(F.col("folded"))
     rows = rows.withColumn("name", F.coalesce(name, "base")).withColumn("mark", folded)
-    rows = rows.withColumn("occurrence", F.row_number().over(Window.partitionBy("module", "mark").orderBy("ordinal")).cast("long"))
+    rows = row_numbers(rows, ["module", "mark"], ["ordinal"], "occurrence")
     number = F.when(F.col("occurrence") > 1, F.concat(F.lit("--"), F.col("occurrence"))).otherwise("")
     return rows.withColumn("claim", F.concat("mark", number)).withColumn("id", F.concat("name", number)).drop("mark", "name")
 
 
 def _claimed(rows: DataFrame) -> DataFrame:
     """Adds next: whether, as ids are now, another key has claimed a row's folded base before it. Bases without a number are settled."""
-    owners = _numbered(rows).groupBy("module", F.col("claim").alias("folded")).agg(F.min(F.struct("ordinal", "key")).alias("owner"))
+    owners = written(_numbered(rows).groupBy("module", F.col("claim").alias("folded")).agg(F.min(F.struct("ordinal", "key")).alias("owner")), "owners")
     taken = (F.col("owner.ordinal") < F.col("ordinal")) & (F.col("owner.key") != F.col("key"))
     next_ = F.when(F.col("folded").rlike(NUMBER), F.coalesce(taken, F.lit(False))).otherwise(F.col("diverted"))
     return rows.join(owners, ["module", "folded"], "left").withColumn("next", next_).drop("owner")
@@ -74,14 +75,15 @@ def assign_ids(entries: DataFrame, ascii_only: bool = False) -> DataFrame:
 
     The first key to claim a folded base keeps it; another key with that base is named by its hash. Later entries
     of the same name are numbered by their order, and the number is part of the id from the second on, claimed like any
-    other. Two windows do this; bases that look like numbered ids are settled by passes of the same windows (``_settled``).
+    other. One aggregate and one numbering do this, neither of which gathers a base's entries in one task; bases that look like
+    numbered ids are settled by passes of the same (``_settled``).
     What ids need is written once and so are the ids: ``entries`` is read once for them.
     """
     slim = entries.select(*[x for x in entries.columns if x in ("module", "ordinal", "key", "base", "canonical")])
     rows = slim.withColumn("folded", fold_col("base", ascii_only=ascii_only)).withColumn("hash", hashed_id(F.col("key")))
     rows = written(rows, "keys")
-    first = F.first("key").over(Window.partitionBy("module", "folded").orderBy("ordinal"))
-    rows = rows.withColumn("diverted", first != F.col("key"))
+    owners = written(rows.groupBy("module", "folded").agg(F.min_by("key", "ordinal").alias("owner")), "owners")  # so that Spark can split the join
+    rows = rows.join(owners, ["module", "folded"]).withColumn("diverted", F.col("owner") != F.col("key")).drop("owner")
     if not rows.where(F.col("folded").rlike(NUMBER)).isEmpty():
         settled = F.coalesce("settled", "diverted")
         rows = rows.join(_settled(rows), ["module", "ordinal"], "left").withColumn("diverted", settled).drop("settled")

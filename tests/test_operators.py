@@ -252,3 +252,22 @@ def test_policy_folds_names(spark):
     assert {x.name: (x.allowed, x.reason) for x in found.collect()} == {"clarke": (False, "denied: x"), "Straße": (False, "denied: "), "None": (False, "licence not approved"), "Gill": (True, "approved: z")}
     kinds = spark.createDataFrame([("Straße", "commentaries")], "name string, kind string")
     assert policy.select_modules(kinds, requested=["strasse"]).count() == 1
+
+
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_row_numbers_of_a_hot_group(spark, parts):
+    """A group of half of all rows fills several parts; numbers are those of a window, over batches of any size."""
+    from pyspark.sql import Window
+
+    from lectern.operators.numbering import row_numbers
+
+    rows = spark.range(0, 4000, 1, 7).select(F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 11 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"), (F.col("id") * 7919 % 4001).alias("o"), F.lit(1).alias("_x"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        found = row_numbers(rows, ["k"], ["o"], "n", parts)
+        wanted = rows.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("o")))
+        assert found.columns == wanted.columns and sorted(map(repr, found.collect())) == sorted(repr(x) for x in wanted.withColumn("n", F.col("n").cast("long")).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert row_numbers(rows.limit(0), ["k"], ["o"], "n", parts).count() == 0
