@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import json
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +16,7 @@ from lectern.functions.ids import canonical_number, number_prefix
 from lectern.functions.refs import coordinates, reference_tokens
 from lectern.functions.text import license_text, public_text_col, slug_col
 from lectern.operators import checks, collapse, commentary, documents, lexicon, policy, publish, validate
-from lectern.sources import ndjson, shapes, store
+from lectern.sources import conf, ndjson, shapes, store
 from lectern.sources.shared import scratch, written
 from lectern.streaming import ingest
 
@@ -669,3 +673,130 @@ def stream_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest.collapse_into(ingest.entry_stream(spark, arrived, files_a_batch=4), found, scratch(spark, "progress")).awaitTermination()
     got = ingest.collapsed(spark, found)
     return got.select(F.col("book").cast("long").alias("book"), F.col("chapter").cast("long").alias("chapter"), F.col("verse").cast("long").alias("verse"), "text", joined("covered"), "copies")
+
+
+def stream_text(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A conversation as one record stream: its turns are the entries, its role their key."""
+    pdf = pdf.sort_values(["turn", "role", "text"], ignore_index=True)
+
+    def value(text: str) -> dict:
+        data = text.encode()
+        return {"base64": base64.b64encode(data).decode(), "encoding": "base64", "sha256": hashlib.sha256(data).hexdigest(), "size": len(data), "utf8": text}
+
+    about = {x: value(x) for x in ndjson.ABOUT} | {"name": value(f"c{pdf['conv_id'].iat[0]}")}
+    records = [{"type": "header", "command": "extract", "contract": "turns/1"}, {"type": "module", "classification": "commentary", **about}]
+    records += [{"type": "entry", "ordinal": k, "key": value(x.role or ""), "raw": value(x.text or ""), "stripped": value(x.text or "")} for k, x in enumerate(pdf.itertuples())]
+    lines = [json.dumps(dict(sorted((x | {"sequence": k}).items())), ensure_ascii=False) + "\n" for k, x in enumerate(records)]
+    footer = {
+        "type": "footer", "sequence": len(lines), "success": True, "stream_sha256": hashlib.sha256("".join(lines).encode()).hexdigest(), "entries": len(pdf), "artifacts": 0, "artifact_bytes": 0,
+        "counts": {"header": 1, "module": 1} | ({"entry": len(pdf)} if len(pdf) else {}), "diagnostics": dict.fromkeys(ndjson.SEVERITIES, 0),
+    }
+    return pd.DataFrame({"path": [f"c{pdf['conv_id'].iat[0]}.ndjson"], "json": ["".join(lines) + json.dumps(dict(sorted(footer.items()))) + "\n"]})
+
+
+@query("""SELECT 'c' || conv_id AS module, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS BIGINT) AS ordinal, coalesce(role, '') AS key, coalesce(text, '') AS plain FROM conversations""")
+def record_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as record streams with digests, written as files and read by the data source that checks each line by line."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    folder = scratch(spark, "streams")
+    store.write_documents(rows.groupBy("conv_id").applyInPandas(stream_text, store.SCHEMA), folder, suffix=".ndjson")
+    streams = ndjson.read_streams(spark, folder, contract="turns/1")
+    names = ndjson.described_stream(streams).select("module", "name")
+    return ndjson.entries(streams).join(names, "module").select(F.col("name").alias("module"), "ordinal", "key", "plain")
+
+
+CONF_DRIVERS = ("zCom", "zLD", "RawFiles", "RawText", "rawld4")
+
+
+@query("""SELECT replace(s_name, '#', '-') AS name, 'Of ' || s_name || ' in ' || s_nationkey AS description, CASE WHEN s_suppkey % 3 = 0 THEN 'und' ELSE 'de' END AS language, 'nation ' || s_nationkey || ' licence' AS license_key,
+  CASE s_suppkey % 5 WHEN 0 THEN 'commentaries' WHEN 1 THEN 'dictionaries' WHEN 2 THEN CASE WHEN s_nationkey % 2 = 0 THEN 'commentaries' ELSE 'dictionaries' END WHEN 4 THEN 'dictionaries' END AS kind,
+  'first,' || s_nationkey AS features FROM supplier""")
+def conf_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as configuration files with comments, continued lines, repeated keys and odd blanks; parsed and described."""
+    rows, nation = table(spark, sf_dir, "supplier"), F.col("s_nationkey")
+    driver = F.element_at(F.array(*map(F.lit, CONF_DRIVERS)), (F.col("s_suppkey") % 5 + 1).cast("int"))
+    category = F.when(nation % 2 == 0, "Commentaries").otherwise("Lexicons / Dictionaries")
+    lang = F.when(F.col("s_suppkey") % 3 == 0, "; no language\n").otherwise("Lang= DE \n")
+    text = F.concat(
+        F.lit("# a module\n[Old]\n["), F.replace("s_name", F.lit("#"), F.lit("-")), F.lit("]\nDescription=old\nDESCRIPTION = Of "), "s_name", F.lit(" \\\n# between\n  in "), nation, F.lit("\n indented=no\n"), lang,
+        F.lit("ModDrv="), driver, F.lit("\nCategory="), category, F.lit("\nFeature=first\nfeature="), nation, F.lit("\nDistributionLicense=  NATION \t "), nation, F.lit("  Licence\n"),
+    )
+    folder = scratch(spark, "confs")
+    path = F.concat(F.col("s_suppkey") % 100, F.lit("/s"), "s_suppkey", F.lit(".conf")).alias("path")
+    store.write_documents(rows.select(path, text.alias("json")), folder, suffix=".conf")
+    found = conf.described(conf.read_confs(spark, folder))
+    return found.select("name", "description", "language", "license_key", "kind", F.array_join(F.try_element_at("fields", F.lit("feature")), ",").alias("features"))
+
+
+@query(rf"""{STORED}, shown AS (
+  SELECT module, book, chapter, string_agg('    {{' || chr(10) || '      "book": ' || book || ',' || chr(10) || '      "chapter": ' || chapter || ',' || chr(10) || '      "verse": ' || verse || ',' || chr(10)
+    || CASE WHEN len(covered) > 1 THEN '      "verses": [' || chr(10) || '        ' || array_to_string(list_sort(covered), ',' || chr(10) || '        ') || chr(10) || '      ],' || chr(10) ELSE '' END
+    || '      "text": ' || CAST(to_json(text) AS VARCHAR) || chr(10) || '    }}', ',' || chr(10) ORDER BY verse, text) AS entries
+  FROM e GROUP BY module, book, chapter
+), docs AS (
+  SELECT lower(module) || '/' || book || '/' || chapter || '.json' AS path, '{{' || chr(10) || '  "schema": "commentary-chapter-v1' || about || named || '  "chapter": ' || chapter || ',' || chr(10) || '  "entries": [' || chr(10) || entries || chr(10) || '  ]' || chr(10) || '}}' || chr(10) AS json
+  FROM shown JOIN heads USING (module, book, chapter)
+) SELECT path, sha256(json) AS sha256, CAST(octet_length(encode(json)) AS BIGINT) AS size FROM docs""")
+def chapter_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as chapters, rendered as published."""
+    entries, modules, _ = line_modules(spark, sf_dir)
+    made = documents.chapter_documents(entries, modules)
+    return publish.render(made, F.col("path"), F.col("document"), 0).select("path", F.sha2("json", 256).alias("sha256"), "size")
+
+
+def supplier_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as modules, as a configuration describes them."""
+    fields = F.create_map(F.lit("sourcetype"), F.array(F.lit("TEI")), F.lit("about"), F.array(F.lit("old"), F.lit(" new ")), F.lit("copyrightcontactname"), F.array(F.concat(F.lit("N"), "s_nationkey")))
+    names = {"language": "de", "version": "1.0", "license": "free", "driver": "zLD"}
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("module"), slug_col("s_name").alias("id"), F.concat(F.lit("Of "), "s_name").alias("description"), fields.alias("fields"), "s_suppkey", "s_nationkey")
+    return rows.withColumns({k: F.lit(v) for k, v in names.items()})
+
+
+@query(r"""WITH modules AS (SELECT *, trim(regexp_replace(lower(s_name), '[^a-z0-9._-]+', '-', 'g'), '-.') AS id FROM supplier), docs AS (
+  SELECT id || '/metadata.json' AS path, '{' || chr(10) || '  "schema": ' || '"dictionary-metadata-v1"' || ',' || chr(10) ||
+    '  "id": ' || to_json(id)::VARCHAR || ',' || chr(10) ||
+    '  "module": ' || to_json(s_name)::VARCHAR || ',' || chr(10) ||
+    '  "name": ' || to_json('Of ' || s_name)::VARCHAR || ',' || chr(10) ||
+    '  "language": ' || '"de"' || ',' || chr(10) ||
+    '  "version": ' || '"1.0"' || ',' || chr(10) ||
+    '  "license": ' || '"free"' || ',' || chr(10) ||
+    '  "driver": ' || '"zLD"' || ',' || chr(10) ||
+    '  "source_type": ' || '"TEI"' || ',' || chr(10) ||
+    '  "entry_count": ' || s_suppkey || ',' || chr(10) ||
+    '  "unique_key_count": ' || s_nationkey || ',' || chr(10) ||
+    '  "strong_prefix": ' || CASE WHEN s_nationkey % 2 = 0 THEN '"G"' ELSE 'null' END || ',' || chr(10) ||
+    '  "bytes": ' || s_suppkey * 100 || ',' || chr(10) ||
+    '  "index_url": ' || '"index.json"' || ',' || chr(10) ||
+    '  "entry_url_template": ' || '"{entry}.json"' || ',' || chr(10) ||
+    '  "source": ' || '"tables"' || ',' || chr(10) ||
+    '  "source_module_url": ' || '"https://example.org/?m=' || replace(replace(s_name, '#', '%23'), ' ', '%20') || '"' || ',' || chr(10) ||
+    '  "text_source": ' || '""' || ',' || chr(10) ||
+    '  "copyright": ' || '""' || ',' || chr(10) ||
+    '  "copyright_holder": ' || '""' || ',' || chr(10) ||
+    '  "copyright_contact": ' || '{' || chr(10) || '    "name": "N' || s_nationkey || '",' || chr(10) || '    "email": "",' || chr(10) || '    "address": ""' || chr(10) || '  }' || ',' || chr(10) ||
+    '  "distribution_notes": ' || '""' || ',' || chr(10) ||
+    '  "about": ' || '"new"' || ',' || chr(10) ||
+    '  "conversion_note": ' || '"Converted."' || '' || chr(10) || '}' || chr(10) AS json FROM modules
+) SELECT path, sha256(json) AS sha256, CAST(octet_length(encode(json)) AS BIGINT) AS size FROM docs""")
+def metadata_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata of each supplier's module, rendered as published, all members."""
+    modules = supplier_modules(spark, sf_dir)
+    prefix = F.when(F.col("s_nationkey") % 2 == 0, "G").alias("strong_prefix")
+    counts = modules.select("module", F.col("s_suppkey").alias("entry_count"), F.col("s_nationkey").alias("unique_key_count"), prefix, (F.col("s_suppkey") * 100).alias("bytes"))
+    made = documents.metadata_documents(modules, counts, "dictionary", "tables", "https://example.org/?m=", "Converted.")
+    return documents.rendered(made).select("path", F.sha2("json", 256).alias("sha256"), "size")
+
+
+@query(r"""WITH modules AS (SELECT *, trim(regexp_replace(lower(s_name), '[^a-z0-9._-]+', '-', 'g'), '-.') AS id FROM supplier), docs AS (
+  SELECT '{' || chr(10) || '  "schema": "dictionaries-catalog-v1",' || chr(10) || '  "version": 1,' || chr(10) || '  "generated_at": "2026-01-02T03:04:05Z",' || chr(10) || '  "base_url": "https://example.org/",' || chr(10)
+    || '  "metadata_url_template": "{dictionary}/metadata.json",' || chr(10) || '  "index_url_template": "{dictionary}/index.json",' || chr(10) || '  "dictionary_url_template": "{dictionary}.json",' || chr(10) || '  "entry_url_template": "{dictionary}/{entry}.json",' || chr(10)
+    || '  "module_count": ' || count(*) || ',' || chr(10) || '  "dictionaries": [' || chr(10)
+    || string_agg('    {' || chr(10) || '      "id": "' || id || '",' || chr(10) || '      "name": "Of ' || s_name || '",' || chr(10) || '      "language": "de",' || chr(10) || '      "bytes": ' || s_suppkey || chr(10) || '    }', ',' || chr(10) ORDER BY id)
+    || chr(10) || '  ]' || chr(10) || '}' || chr(10) AS json FROM modules
+) SELECT 'dictionaries.json' AS path, sha256(json) AS sha256, CAST(octet_length(encode(json)) AS BIGINT) AS size FROM docs""")
+def catalog_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog of all suppliers' modules, written in pieces and read back."""
+    records = supplier_modules(spark, sf_dir).select("id", F.col("description").alias("name"), "language", F.col("s_suppkey").alias("bytes"))
+    folder, at = scratch(spark, "published"), F.to_timestamp(F.lit("2026-01-02T03:04:05Z"))
+    store.write_documents(documents.catalog(records, "dictionaries", "https://example.org/", at), folder)
+    return store.read_documents(spark, folder).select("path", F.sha2("json", 256).alias("sha256"), F.octet_length("json").cast("long").alias("size"))

@@ -36,11 +36,11 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:/") else (fs.LocalFileSystem(), os.path.abspath(uri))
 
 
-def visible(store: fs.FileSystem, base: str) -> list[fs.FileInfo]:
+def visible(store: fs.FileSystem, base: str, suffix: str = ".json") -> list[fs.FileInfo]:
     """The documents below a folder, by path; what hidden folders hold is none."""
     found = store.get_file_info(fs.FileSelector(base, recursive=True, allow_not_found=True))
     inside = lambda x: posixpath.relpath(x.path, base)
-    return sorted((x for x in found if x.type == fs.FileType.File and x.path.endswith(".json") and not any(p.startswith(".") for p in inside(x).split("/"))), key=lambda x: x.path)
+    return sorted((x for x in found if x.type == fs.FileType.File and x.path.endswith(suffix) and not any(p.startswith(".") for p in inside(x).split("/"))), key=lambda x: x.path)
 
 
 @dataclass
@@ -53,10 +53,10 @@ class Staged(WriterCommitMessage):
 
 
 class DocumentsWriter(DataSourceWriter):
-    def __init__(self, folder: str, ceiling: int, columns: list[str]):
+    def __init__(self, folder: str, ceiling: int, columns: list[str], suffix: str = ".json"):
         if not {"path", "json"} <= set(columns):
             raise ValueError("documents have the columns path and json")
-        self.folder, self.ceiling, self.job = folder, ceiling, HIDDEN + uuid.uuid4().hex
+        self.folder, self.ceiling, self.suffix, self.job = folder, ceiling, suffix, HIDDEN + uuid.uuid4().hex
         self.at = columns.index("path"), columns.index("json"), columns.index("piece") if "piece" in columns else None
 
     def write(self, rows: Iterator[Row]) -> Staged:
@@ -65,8 +65,8 @@ class DocumentsWriter(DataSourceWriter):
         attempt = f"{task.partitionId()}-{task.taskAttemptId()}" if task else uuid.uuid4().hex
         here, seen, total = posixpath.join(base, self.job, attempt), set(), 0
         for path, parts in self._documents(rows):
-            if not path.endswith(".json") or any(x.startswith(".") for x in path.split("/")) or path in seen:
-                raise ValueError(f"{path} is written twice, hidden, or no .json")
+            if not path.endswith(self.suffix) or any(x.startswith(".") for x in path.split("/")) or path in seen:
+                raise ValueError(f"{path} is written twice, hidden, or no {self.suffix}")
             target, size = posixpath.join(here, path), 0
             store.create_dir(posixpath.dirname(target), recursive=True)
             with store.open_output_stream(target) as out:
@@ -103,7 +103,7 @@ class DocumentsWriter(DataSourceWriter):
         attempts = [x.folder for x in messages if x is not None and x.documents]
         top = posixpath.join(base, self.job)
         if attempts:
-            paths = [posixpath.relpath(x.path, posixpath.join(top, a)) for a in attempts for x in visible(store, posixpath.join(top, a))]
+            paths = [posixpath.relpath(x.path, posixpath.join(top, a)) for a in attempts for x in visible(store, posixpath.join(top, a), "")]
             if len(set(paths)) < len(paths):
                 store.delete_dir(top)
                 raise ValueError("two tasks wrote one path")
@@ -133,7 +133,7 @@ def promoted(store: fs.FileSystem, base: str, job: str) -> None:
     with ThreadPoolExecutor(16) as pool:
         for attempt in attempts:
             here = posixpath.join(top, attempt)
-            list(pool.map(lambda x, here=here: move(x.path, posixpath.join(base, posixpath.relpath(x.path, here))), visible(store, here)))
+            list(pool.map(lambda x, here=here: move(x.path, posixpath.join(base, posixpath.relpath(x.path, here))), visible(store, here, "")))
     store.delete_dir(top)
 
 
@@ -154,14 +154,14 @@ class Files(InputPartition):
 
 
 class DocumentsReader(DataSourceReader):
-    def __init__(self, folder: str):
-        self.folder = folder
+    def __init__(self, folder: str, suffix: str = ".json"):
+        self.folder, self.suffix = folder, suffix
 
     def partitions(self) -> list[Files]:
         """Files by path, some READ bytes together."""
         store, base = opened(self.folder)
         parts, held = [[]], 0
-        for x in visible(store, base):
+        for x in visible(store, base, self.suffix):
             if parts[-1] and held + x.size > READ:
                 parts, held = [*parts, []], 0
             parts[-1].append(posixpath.relpath(x.path, base))
@@ -176,7 +176,7 @@ class DocumentsReader(DataSourceReader):
 
 
 class Documents(DataSource):
-    """Options: path, the folder; ceiling, bytes of a document at most (0: any)."""
+    """Options: path, the folder; ceiling, bytes of a document at most (0: any); suffix, what names of documents end with."""
 
     @classmethod
     def name(cls) -> str:
@@ -186,20 +186,20 @@ class Documents(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> DocumentsReader:
-        return DocumentsReader(self.options["path"])
+        return DocumentsReader(self.options["path"], self.options.get("suffix", ".json"))
 
     def writer(self, schema: StructType, overwrite: bool) -> DocumentsWriter:
         if overwrite:
             raise ValueError("documents are replaced one by one: use mode append")
-        return DocumentsWriter(self.options["path"], int(self.options.get("ceiling", 0)), schema.names)
+        return DocumentsWriter(self.options["path"], int(self.options.get("ceiling", 0)), schema.names, self.options.get("suffix", ".json"))
 
 
-def write_documents(documents: DataFrame, folder: str, ceiling: int = 0) -> None:
+def write_documents(documents: DataFrame, folder: str, ceiling: int = 0, suffix: str = ".json") -> None:
     """Publishes (path, json) or (path, piece, json), all or none; each replaces the document of its name."""
     if "piece" in documents.columns:
         documents = documents.repartition("path").sortWithinPartitions("path", "piece")
     documents.sparkSession.dataSource.register(Documents)
-    documents.write.format("documents").option("ceiling", ceiling).mode("append").save(folder)
+    documents.write.format("documents").option("ceiling", ceiling).option("suffix", suffix).mode("append").save(folder)
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:

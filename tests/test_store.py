@@ -27,6 +27,12 @@ def test_round_trip_and_replacement(spark, tmp_path):
     assert store.read_documents(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_other_endings(spark, tmp_path):
+    store.write_documents(docs(spark, 4).withColumn("path", F.concat("path", F.lit(".conf"))), str(tmp_path), suffix=".conf")
+    assert len(files(tmp_path)) == 4 and store.read_documents(spark, str(tmp_path)).count() == 0
+    assert spark.read.format("documents").option("suffix", ".conf").load(str(tmp_path)).count() == 4
+
+
 def test_an_aborted_job_leaves_nothing(spark, tmp_path):
     store.write_documents(docs(spark, 6, "old"), str(tmp_path))
     before = files(tmp_path)
