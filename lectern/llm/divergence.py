@@ -18,7 +18,7 @@ LEAST, ADDED, UNIT, TOP = 30, 5, 1_000_000_000, 50
 #: Blocks into which a language's groups are dealt, as long as a block stays within GROUPS, and terms of a term block, about.
 BLOCKS, GROUPS, TERMS = 4, 128, 4096
 #: Entries that a task counts before it passes them on.
-HELD = 1 << 18
+HELD = 1 << 19
 #: ASCII that is no letter becomes a blank, A to Z lower case; other bytes stay.
 _FOLDED = bytes((x + 32 if 65 <= x <= 90 else x) if x >= 128 or chr(x).isalpha() else 32 for x in range(256))
 
@@ -31,12 +31,14 @@ def term_counts(docs: DataFrame) -> DataFrame:
     kind = "lang string, source string, term binary, count long, docs long"
 
     def sent(found: dict[tuple, tuple[Counter, Counter]]) -> pa.RecordBatch:
-        rows = [(*group, term, n, seen[term]) for group, (times, seen) in found.items() for term, n in times.items()]
-        rows += [(*group, None, 0, 0) for group in found]
-        columns = list(zip(*rows, strict=True))
-        types = (pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-        return pa.RecordBatch.from_arrays([arrays[0].cast(pa.string()), arrays[1].cast(pa.string()), *arrays[2:]], ["lang", "source", "term", "count", "docs"])
+        groups = np.repeat(np.arange(len(found)), [len(times) + 1 for times, _ in found.values()])
+        name = lambda k: pa.array([x[k] for x in found], pa.binary()).cast(pa.string()).take(pa.array(groups))
+        terms, counts, docs = [], [], []
+        for times, seen in found.values():  # a null term in front says that there is a group
+            terms += [None, *times]
+            counts += [0, *times.values()]
+            docs += [0, *map(seen.__getitem__, times)]
+        return pa.RecordBatch.from_arrays([name(0), name(1), pa.array(terms, pa.binary()), pa.array(counts, pa.int64()), pa.array(docs, pa.int64())], ["lang", "source", "term", "count", "docs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple, tuple[Counter, Counter]] = {}
