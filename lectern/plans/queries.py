@@ -151,7 +151,12 @@ def reference_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_by_join(tokens, books).select("id", "token", "book", "chapter", "verse")
 
 
-@query()
+@query(r"""WITH bare AS (
+  SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<!--.*?-->', '', 'g'), '(?is)<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|$)', '', 'g'),
+    '(?i)</?(?:blockquote|br|dd|div|dt|h[1-6]|hr|li|ol|p|table|tr|ul)(?:[\s/][^>]*)?>', chr(10), 'g'), '<[!/A-Za-z][^>]*>', '', 'g') AS text FROM pages
+), decoded AS (
+  SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS text FROM bare
+) SELECT page_id, trim(regexp_replace(text, '[ \t]+' || chr(10), chr(10), 'g'), ' ' || chr(9) || chr(10)) AS text FROM decoded""")
 def markup_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", public_text_col(F.lit(None).cast("string"), "html").alias("text"))
 
