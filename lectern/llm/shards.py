@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, DateType, IntegerType, LongType, NumericType, StructField, StructType, TimestampType
 
 from lectern.llm.common import bytes_of, map_arrow, read, scratch, small_batches, written
 
@@ -20,14 +20,14 @@ LEAST = 96
 
 
 def scatter(rows: DataFrame, buckets: int, seed: int) -> DataFrame:
-    """Pass one: a uniform bucket for each row. The row's number takes part, so rows that repeat scatter as well."""
-    return rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "row_no"), F.lit(buckets)).cast("int"))
+    """Pass one: a uniform bucket for each row. The row's place takes part, so rows that repeat scatter as well."""
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "file_no", "row_no"), F.lit(buckets)).cast("int"))
 
 
 def shuffled(rows: DataFrame, seed: int = 42, bucket_bytes: int = BUCKET) -> DataFrame:
-    """``rows`` (any columns, with row_no, size and law-free keys) plus position: a uniform random order from 0, gapless.
+    """``rows`` (any columns, with file_no, row_no and size) plus position: a uniform random order from 0, gapless.
 
-    Buckets are dealt by a seeded hash; each is put in order of row_no and then shuffled by Fisher-Yates with a seed
+    Buckets are dealt by a seeded hash; each is put in order of its rows' places and then shuffled by Fisher-Yates with a seed
     of its own, so the order doesn't depend on which task ran when. A bucket's first position is the count of the
     buckets before it.
     """
@@ -38,7 +38,7 @@ def shuffled(rows: DataFrame, seed: int = 42, bucket_bytes: int = BUCKET) -> Dat
     starts = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("start"))
 
     def shuffle(key: tuple, records: pa.Table) -> pa.Table:
-        records = records.take(pa.array(np.argsort(records["row_no"].to_numpy(), kind="stable")))
+        records = records.take(pa.array(np.lexsort([records[x].to_numpy() for x in ("file_no", "row_no")])))
         place = np.random.default_rng([seed, key[0].as_py()]).permutation(len(records))  # numpy's Fisher-Yates
         return records.append_column("place", pa.array(place, pa.int64()))
 
@@ -81,11 +81,17 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = 42, steady: bo
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = 42, steady: bool = False, bucket_bytes: int = BUCKET) -> None:
     """Writes whole rows, with their slot, as Parquet below ``path``/shard=N; a bucket is a task's memory. Whoever shuffles
-    a bucket writes it: rows of a file are in slot order. Columns named shard or slot are replaced. ``steady``: every
-    reading of ``docs`` gives the same rows in the same partitions, as one of files does; others are written first."""
-    names = [F.col(f"`{x}`") for x in docs.columns if x not in ("shard", "slot")]
-    size = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)) + 1
-    rows = docs.select(F.struct(*names).alias("record"), F.monotonically_increasing_id().alias("row_no"), size.cast("long").alias("size"))
+    a bucket writes it: rows of a file are in slot order. Columns named shard or slot are replaced.
+
+    A row's place must be the same each time that rows are read, whatever tasks read them. ``steady``: ``docs`` is a reading of Parquet
+    files and no more, so the file and the row's number in it are its place; other rows are numbered and written first.
+    """
+    fields = [f for f in docs.schema.fields if f.name not in ("shard", "slot")]
+    plain = (BooleanType, DateType, NumericType, TimestampType)
+    wide = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in fields if not isinstance(f.dataType, plain)]
+    size = sum(wide, F.lit(8 * len(fields) + 1)).cast("long")  # of the whole record: a bucket must fit a task's memory
+    place = [F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")] if steady else [F.lit(0).cast("long"), F.monotonically_increasing_id()]
+    rows = docs.select(F.struct(*[F.col(f"`{f.name}`") for f in fields]).alias("record"), *[x.alias(name) for x, name in zip(place, ("file_no", "row_no"), strict=True)], size.alias("size"))
     if not steady:
         rows = written(rows, "numbered")
     small_batches(docs.sparkSession)

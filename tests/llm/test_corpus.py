@@ -170,6 +170,28 @@ def test_op3_shuffles_whole_records(spark, tables, monkeypatch):
     assert sorted(map(tuple, back.select(*docs.columns).collect())) == sorted(map(tuple, docs.collect()))
 
 
+def test_slots_do_not_depend_on_how_files_are_cut(spark, tables, tmp_path, monkeypatch):
+    """Passes that read files in other partitions see the same places: here the last pass does."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    docs.union(docs.limit(3)).withColumn("shard", F.lit("x")).repartition(5).write.option("parquet.block.size", 4096).parquet(str(tmp_path / "documents.parquet"))
+    whole = sorted(map(tuple, shards.op3(spark, str(tmp_path)).select("doc_id", "shard", "slot").collect()))
+    real, before = shards.cut, spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def other(*args):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+        return real(*args)
+
+    monkeypatch.setattr(shards, "cut", other)
+    try:
+        found = sorted(map(tuple, shards.op3(spark, str(tmp_path)).select("doc_id", "shard", "slot").collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == whole and len(whole) == docs.count() + 3
+    for k in range(8):
+        slots = [x for _, shard, x in whole if shard == k]
+        assert sorted(slots) == list(range(len(slots)))
+
+
 # quality rules
 
 
