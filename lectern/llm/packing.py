@@ -23,8 +23,8 @@ ROOM, END = 4096, 1
 CELL, ISLANDS = 768, 4
 #: Rounds between which the best of each island moves on; packings of an island and generations of a round.
 ROUNDS, POPULATION, GENERATIONS = 2, 20, 20
-#: Tasks that cells or islands are dealt to, at most.
-TASKS = 1 << 12
+#: Cells or islands that a task is dealt, about, and tasks at most.
+DEALT, TASKS = 16, 1 << 16
 #: Chunks of text whose ids a worker keeps before it starts anew.
 CACHED = 1 << 20
 
@@ -240,7 +240,7 @@ def islands(items: DataFrame, seed: int, room: int = ROOM) -> DataFrame:
     round starts from both.
     """
     # A cell's work is in its pieces, not in their few bytes, so the number of tasks is given, not left to sizes.
-    tasks = lambda cells, each: max(1, min(cells * each, TASKS))
+    tasks = lambda cells, each: max(1, min(-(-cells * each // DEALT), TASKS))
     cells = int(items.agg(F.coalesce(F.max("cell"), F.lit(0))).first()[0]) + 1
     start = written(items.repartition(tasks(cells, 1), "cell").groupBy("cell").applyInPandas(_first(room), "uid long, cell long, length long, own int, least boolean"), "first")
     every = F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island")
