@@ -6,6 +6,7 @@ import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -103,8 +104,8 @@ class Bins:
         self.free: list[int] = []
         self.open: list[tuple[int, int]] = []
 
-    def keep(self, members: list[int]) -> None:
-        left = self.room - sum(self.sizes[x] for x in members)
+    def keep(self, members: list[int], used: int) -> None:
+        left = self.room - used
         self.bins.append(list(members))
         self.free.append(left)
         if left:
@@ -115,7 +116,7 @@ class Bins:
         size = self.sizes[item]
         at = bisect_left(self.open, (size, -1))
         if at == len(self.open):
-            self.keep([item])
+            self.keep([item], size)
             return
         left, k = self.open.pop(at)
         self.bins[k].append(item)
@@ -124,37 +125,48 @@ class Bins:
             insort(self.open, (left - size, k))
 
 
-def best_fit(sizes: list[int], order: list[int], room: int) -> list[list[int]]:
-    packing = Bins(sizes, room)
+class Packing(NamedTuple):
+    """Bins, and what each of them holds."""
+
+    bins: list[list[int]]
+    used: np.ndarray
+
+    @staticmethod
+    def of(bins: list[list[int]], sizes: list[int]) -> Packing:
+        return Packing(bins, np.array([sum(sizes[x] for x in one) for one in bins], np.int64))
+
+    def cost(self, room: int) -> tuple[int, float]:
+        """Fewer bins first, then uneven ones: fuller bins leave more room in the last."""
+        return len(self.bins), -float(((self.used / room) ** 2).sum())
+
+
+def packed_in(sizes: list[int], order: list[int], room: int, under_way: Bins | None = None) -> Packing:
+    """Best fit of the pieces in this order, into the bins that there are."""
+    packing = under_way or Bins(sizes, room)
     for item in order:
         packing.place(item)
-    return packing.bins
+    return Packing(packing.bins, room - np.array(packing.free, np.int64))
 
 
-def cost(bins: list[list[int]], sizes: list[int], room: int) -> tuple[int, float]:
-    """Fewer bins first, then uneven ones: fuller bins leave more room in the last."""
-    return len(bins), -sum((sum(sizes[x] for x in b) / room) ** 2 for b in bins)
+def best_fit(sizes: list[int], order: list[int], room: int) -> list[list[int]]:
+    return packed_in(sizes, order, room).bins
 
 
-def cross(a: list[list[int]], b: list[list[int]], sizes: list[int], room: int, rng: np.random.Generator) -> list[list[int]]:
+def cross(a: Packing, b: Packing, sizes: list[int], down: list[int], room: int, rng: np.random.Generator) -> Packing:
     """Puts well-filled bins of ``b`` whole into ``a``, drops the bins of ``a`` that share a piece with them, and
-    best-fits the displaced pieces, the largest first. A few of the emptiest bins are broken up as well."""
-    fill = np.array([sum(sizes[x] for x in one) for one in b])
-    full = np.flatnonzero(fill >= np.quantile(fill, 0.5))
-    given = [b[k] for k in rng.choice(full, max(1, len(full) // 3), replace=False)]
-    inside = {x for one in given for x in one}
+    best-fits the displaced pieces, the largest first (``down``). A few of the emptiest bins are broken up as well."""
+    full = np.flatnonzero(b.used >= np.quantile(b.used, 0.5))
+    given = rng.choice(full, max(1, len(full) // 3), replace=False).tolist()
+    inside = {x for k in given for x in b.bins[k]}
     child = Bins(sizes, room)
-    for one in given:
-        child.keep(one)
-    left = [one for one in a if inside.isdisjoint(one)]
-    left.sort(key=lambda one: -sum(sizes[x] for x in one))
+    for k in given:
+        child.keep(list(b.bins[k]), int(b.used[k]))
+    left = sorted((k for k, one in enumerate(a.bins) if inside.isdisjoint(one)), key=(-a.used).__getitem__)
     spare = max(1, len(left) // 20)
-    for one in left[:-spare]:
-        child.keep(one)
-    kept = inside.union(*left[:-spare])
-    for item in sorted((x for x in range(len(sizes)) if x not in kept), key=lambda x: (-sizes[x], x)):
-        child.place(item)
-    return child.bins
+    for k in left[:-spare]:
+        child.keep(list(a.bins[k]), int(a.used[k]))
+        inside.update(a.bins[k])
+    return packed_in(sizes, [x for x in down if x not in inside], room, child)
 
 
 def least_bins(sizes: list[int], room: int) -> int:
@@ -175,19 +187,18 @@ def evolve(sizes: list[int], start: list[list[list[int]]], room: int, rng: np.ra
     """The best packing that a population reaches in a round; it stops at the least number of bins that there can be."""
     least = least_bins(sizes, room)
     down = sorted(range(len(sizes)), key=lambda x: (-sizes[x], x))
-    people = [*start, best_fit(sizes, down, room)]
-    while len(people) < POPULATION and min(map(len, people)) > least:
+    people = [*(Packing.of(x, sizes) for x in start), packed_in(sizes, down, room)]
+    while len(people) < POPULATION and min(len(x.bins) for x in people) > least:
         noise = np.argsort(-np.array(sizes) * rng.uniform(0.8, 1.0, len(sizes)), kind="stable")
-        people.append(best_fit(sizes, noise.tolist(), room))
-    people.sort(key=lambda x: cost(x, sizes, room))
-    for _ in range(GENERATIONS):
-        if len(people[0]) <= least:
+        people.append(packed_in(sizes, noise.tolist(), room))
+    people = sorted((x.cost(room), k, x) for k, x in enumerate(people))
+    for turn in range(GENERATIONS):
+        if people[0][0][0] <= least:
             break
         i, j = rng.choice(len(people), 2, replace=False) if len(people) > 1 else (0, 0)
-        people.append(cross(people[i], people[j], sizes, room, rng))
-        people.append(cross(people[0], people[j], sizes, room, rng))
-        people = sorted(people, key=lambda x: cost(x, sizes, room))[:POPULATION]
-    return people[0]
+        born = (cross(people[k][2], people[j][2], sizes, down, room, rng) for k in (i, 0))
+        people = sorted([*people, *((x.cost(room), POPULATION + 2 * turn + k, x) for k, x in enumerate(born))])[:POPULATION]
+    return people[0][2].bins
 
 
 def _packings(pdf: pd.DataFrame, names: list[str]) -> list[list[list[int]]]:
