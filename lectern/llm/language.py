@@ -118,9 +118,11 @@ def build(languages: list[str], held: dict[str, np.ndarray]) -> Filters:
 
 
 def learn(docs: DataFrame, most: int = FITTED, held: int = HELD) -> Filters:
-    """Filters learned from rows with a text and a lang: at most ``most`` documents of a language, those whose seeded
-    hashes of doc_id are smallest. A language holds the ``held`` n-grams found in most of its documents, twice at least,
-    of those that it has a fair share of (OWN).
+    """Filters learned from rows with a doc_id, a text and a lang: all of a language that has ``most`` rows or fewer, else about
+    ``most``, those whose seeded hash of doc_id falls below that share. Rows that share a doc_id are taken together or not at all,
+    and count each. A language holds the ``held`` n-grams found in most of its rows, twice at least, of those that it has a fair share
+    of (OWN); of n-grams found as often, those of smaller numbers. Rows with a null take no part; empty texts have no n-gram; a
+    language of which nothing is held never wins; learning from an empty table gives filters of no language. Extra columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")).where("lang is not null and text is not null and doc_id is not null")
     order = F.struct(F.xxhash64(F.lit(29), "doc_id").alias("h"), "doc_id")
@@ -175,7 +177,8 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
 
 
 def told(docs: DataFrame, filters: Filters, share: float, lead: float) -> DataFrame:
-    """The rows of ``docs`` whose language can be told (``Filters.tells``); a null text's cannot. Columns stay as they are."""
+    """The rows of ``docs`` whose language can be told (``Filters.tells``); that of a null, empty or letterless text cannot. Rows that
+    repeat stay or go alike; columns of any name stay as they are; an empty table gives an empty result, and so do filters of no language."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

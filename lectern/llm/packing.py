@@ -248,7 +248,7 @@ def islands(items: DataFrame, seed: int, room: int = ROOM) -> DataFrame:
 
     A cell that best fit packs in the least number of bins is done. Every other one lives on ISLANDS islands. A round
     evolves each island by itself; then its best packing stays there and goes on to the next island as well, and the next
-    round starts from both.
+    round starts from both. Lengths are 1 to ``room``; uids are distinct; an empty table gives an empty result.
     """
     # A cell's work is in its pieces, not in their few bytes, so the number of tasks is given, not left to sizes.
     tasks = lambda cells, each: max(1, min(-(-cells * each // DEALT), TASKS))
@@ -275,7 +275,8 @@ def pack(found: DataFrame, seed: int = 42, room: int = ROOM) -> DataFrame:
 
     Full pieces are sequences of their own. The rest is dealt into cells at random, and each cell is packed on its
     islands. What the emptiest sequences of all cells hold is dealt anew and packed once more, so that cells
-    share their remainders. A cell has a bounded number of pieces, whatever the input.
+    share their remainders. A cell has a bounded number of pieces, whatever the input. Rows that repeat are pieces each; columns
+    named uid, sequence_id or offset are replaced, and one named number is not allowed; an empty table gives an empty result.
     """
     rows = written(found.withColumn("uid", F.monotonically_increasing_id()), "pieces")  # ids are fixed by being written
     small = rows.where(F.col("length") < room).select("uid", "length")

@@ -202,7 +202,12 @@ def document_statistics(docs: DataFrame) -> DataFrame:
 
 
 def fit_forest(docs: DataFrame, labels: DataFrame, most: int = FITTED) -> Forest:
-    """Trees fitted on at most ``most`` labelled documents, those whose seeded hashes of doc_id are smallest."""
+    """Trees fitted on at most ``most`` labelled documents, those whose seeded hashes of doc_id are smallest.
+
+    Of several labels for one doc_id the highest counts; a null doc_id or label is none. A doc_id that several rows of ``docs`` have is
+    fitted with each of them, so only there are rows more than ``most``; one that none has is left out. A null text has no words. Where all
+    labels agree, or there are none, the forest has no tree and one score for all. Extra columns are ignored.
+    """
     asked = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
     chosen = asked.orderBy(F.xxhash64(F.lit(17), "doc_id"), "doc_id").limit(most)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")  # ``most`` rows at most

@@ -112,7 +112,7 @@ def links(fps: DataFrame, radius: int = 4, most: int = 1 << 18) -> DataFrame:
     Fingerprints are dealt into chunks by population count, several to a count; chunks whose counts differ
     by more than the radius never meet. Each pair of chunks that may hold a link is a cell, and a task compares
     a cell's tiles exactly. A cell sends on at most one edge a fingerprint (its local forest), never all pairs.
-    ``most`` bounds a chunk's rows and so a task's memory.
+    ``most`` bounds a chunk's rows and so a task's memory. Rows that repeat a fingerprint, and an empty table, give no link of their own.
     """
     bits = F.bit_count("fp").cast("int")
     hashed = fps.select("fp", bits.alias("p"))
