@@ -19,9 +19,10 @@ def false_anchors(entries: DataFrame, position: str = "verse") -> DataFrame:
 
 
 def unsorted_terms(index: DataFrame) -> DataFrame:
-    """Index records whose term sorts before the one above it."""
-    above = F.lag("search").over(Window.partitionBy("module").orderBy("rank"))
-    return index.withColumn("above", above).where(F.col("above") > F.col("search")).select("module", "rank", "search")
+    """Index records whose term sorts before the one above it. Ranks leave no gap, so each record meets the one before by a join on
+    its rank, which spreads a module over all tasks; records without one above, but for the first, are told as well."""
+    before = index.select("module", (F.col("rank") + 1).alias("rank"), F.col("search").alias("above"))
+    return index.join(before, ["module", "rank"], "left").where((F.col("above") > F.col("search")) | (F.col("above").isNull() & (F.col("rank") > 1))).select("module", "rank", "search")
 
 
 def one_way_links(forward: DataFrame, backward: DataFrame) -> DataFrame:

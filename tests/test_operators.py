@@ -271,3 +271,9 @@ def test_row_numbers_of_a_hot_group(spark, parts):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert row_numbers(rows.limit(0), ["k"], ["o"], "n", parts).count() == 0
+
+
+def test_unsorted_terms(spark):
+    rows = [("m", 1, "a"), ("m", 2, "c"), ("m", 3, "b"), ("m", 4, "b"), ("n", 1, "z"), ("n", 3, "zz")]
+    found = validate.unsorted_terms(spark.createDataFrame(rows, "module string, rank long, search string"))
+    assert sorted(map(tuple, found.collect())) == [("m", 3, "b"), ("n", 3, "zz")]
