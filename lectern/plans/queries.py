@@ -674,7 +674,7 @@ def stream_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     verse = F.struct(F.lit(None).cast("string").alias("osis"), F.when(F.col("conv_id") % 66 < 39, 1).otherwise(2).alias("testament"), F.when(F.col("conv_id") % 66 < 39, F.col("conv_id") % 66 + 1).otherwise(F.col("conv_id") % 66 - 38).cast("int").alias("book"), F.col("conv_id").cast("int").alias("chapter"), F.col("turn").cast("int").alias("verse"))
     rows = table(spark, sf_dir, "conversations").select(F.lit("c").alias("module"), F.col("turn").cast("long").alias("ordinal"), F.lit("").alias("key"), F.lit("").alias("raw"), F.lit("").alias("html"), F.col("text").alias("plain"), verse.alias("verse"))
     arrived, found = scratch(spark, "arrived"), scratch(spark, "collapsed")
-    rows.repartition(12, F.xxhash64("ordinal", "plain")).write.json(arrived)
+    rows.repartition(12).write.json(arrived)  # round robin: a chapter's turns part, and no file is larger than others
     ingest.collapse_into(ingest.entry_stream(spark, arrived, files_a_batch=4), found, scratch(spark, "progress")).awaitTermination()
     got = ingest.collapsed(spark, found)
     return got.select(F.col("book").cast("long").alias("book"), F.col("chapter").cast("long").alias("chapter"), F.col("verse").cast("long").alias("verse"), "text", joined("covered"), "copies")
