@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lectern.llm import components, language, lines, mixing, packing, quality, queries, shards, simhash, tokens, topk, warc
+from lectern.llm import alike, components, language, lines, mixing, packing, quality, queries, shards, simhash, tokens, topk, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LONG = "one two three four five six seven eight nine ten eleven twelve " * 3000
@@ -496,6 +496,76 @@ def test_edited_lines_are_found(spark):
     assert len(recall) > 9 and min(recall.values()) >= 0.9, recall
 
 
+def worn(rng, line, share):
+    """The line with letters replaced, left out or put in, some ``share`` of them."""
+    out = []
+    for x in line:
+        kind = rng.random() / share
+        out.append(x if kind >= 1 or x == " " else "" if kind < 0.2 else x + "z" if kind < 0.4 else str(rng.choice(list("abcdeqxz"))))
+    return " ".join("".join(out).split())
+
+
+def worn_lines(rng, sizes, shares):
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnoprstu"), rng.integers(2, 9))) for _ in range(3000)]
+    found = []
+    for size in sizes:
+        for share in shares:
+            line = " ".join(rng.choice(vocabulary, size))
+            found += [line, worn(rng, line, share)]
+    return found
+
+
+def test_similar_where_blanks_moved():
+    """Exact however many words differ: blanks put in and left out make the edits of a script along words too many."""
+    rng = np.random.default_rng(21)
+    some = wanted = 0
+    for share in (0.05, 0.1, 0.15, 0.25, 0.5):
+        for a in worn_lines(rng, [20, 24, 30], (0.1,))[::2]:
+            b = " ".join("".join(("" if x == " " else x + " ") if rng.random() < share else x for x in a).split())
+            near = edits(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9)
+            assert lines.similar(a, b) == near == lines.similar(b, a)
+            wanted, some = wanted + near, some + 1
+    assert 5 < wanted < some
+    assert lines.similar("a b " * 40, "b a " * 40) == (edits("a b " * 40, "b a " * 40) <= 32)
+
+
+def test_worn_lines(spark):
+    """All similar pairs are linked: letters change in so many words that lines share no key."""
+    rng = np.random.default_rng(22)
+    found = worn_lines(rng, [1, 2, 3, 5, 7, 10, 14, 19, 25, 32, 45, 60, 90, 140], (0.05, 0.1, 0.12, 0.15, 0.18, 0.22))
+    rows = [(k, x) for k, x in enumerate(found)]
+    wanted, equal = plain_dedup(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert removed(frame) == wanted and len(wanted) > 40 + equal
+    room = alike.LINES
+    try:  # bands in several parts
+        alike.LINES = 5
+        assert removed(frame) == wanted
+    finally:
+        alike.LINES = room
+
+
+@pytest.mark.parametrize("tile, least", [(1 << 14, 0.8), (64, 0.8), (64, 0.9), (64, 0.6)])
+def test_bounds_leave_no_similar_pair_out(tile, least):
+    rng = np.random.default_rng(23)
+    few = ["a", "b", "ab", "aaaa", "aaaaa", "aaaaaaaaaa", "a" * 90, "a" * 100, "é漢字 " * 30, "é漢字x" * 30, "ab " * 50, "ba " * 50, "the " * 60, "the " * 52]
+    found = sorted({x.strip() for x in few + worn_lines(rng, [4, 9, 15, 22, 30, 60], (0.05, 0.1, 0.15, 0.2, 0.3) * 3)}, key=len)
+    wanted = {(j, i) for i in range(len(found)) for j in range(i) if lines.similar(found[i], found[j], least)}
+    held = alike.TILE, alike.PAIRS, alike.AT_ONCE
+    try:
+        alike.TILE, alike.PAIRS, alike.AT_ONCE = tile, 50, 1000
+        some = list(alike.likely(found, None, least, True, lambda i, j: j))
+        left, right = found[::2], found[1::2]
+        more = [(left[i], right[j]) for i, j in alike.likely(left, right, least, True, lambda i, j: j)]
+        more += [(right[j], left[i]) for j, i in alike.likely(right, left, least, False, lambda i, j: j)]
+    finally:
+        alike.TILE, alike.PAIRS, alike.AT_ONCE = held
+    assert len(set(some)) == len(some) and {(min(x), max(x)) for x in some} >= wanted and len(wanted) > 20
+    where = {x: k for k, x in enumerate(found)}
+    crossed = [tuple(sorted((where[a], where[b]))) for a, b in more]
+    assert len(set(crossed)) == len(crossed) and set(crossed) >= {(j, i) for j, i in wanted if (i - j) % 2}
+
+
 @pytest.mark.parametrize("n", [1, 1 << 30, 1 << 40])
 def test_blocks_share_one(n):
     rng = np.random.default_rng(9)
