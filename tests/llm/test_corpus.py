@@ -545,6 +545,19 @@ def test_worn_lines(spark):
         alike.LINES = room
 
 
+def test_pipeline_drops_lines_whose_blanks_moved(spark):
+    """The pipeline's stage leaves no similar line: of these pairs a script along words finds hardly any."""
+    rng = np.random.default_rng(24)
+    found = worn_lines(rng, [40] * 6, (0.1,))[::2]
+    moved = [" ".join("".join(("" if x == " " else x + " ") if rng.random() < 0.12 else x for x in a).split()) for a in found]
+    assert all(edits(a, b) <= 0.2 * max(len(a), len(b)) for a, b in zip(found, moved))
+    rows = [(k, x, len(x)) for k, x in enumerate(found + [f"Own {k}\n{x}" for k, x in enumerate(moved)])]
+    left = corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, n_chars int"), "").collect()
+    heads = {f"Own {k}" for k in range(6)}
+    assert {x.text for x in left if x.doc_id < 6} == set(found) and len({x.text for x in left if x.doc_id >= 6}) <= 6
+    assert {x.text for x in left if x.doc_id >= 6} <= heads and all(x.n_chars == len(x.text) for x in left)
+
+
 @pytest.mark.parametrize("tile, least", [(1 << 14, 0.8), (64, 0.8), (64, 0.9), (64, 0.6)])
 def test_bounds_leave_no_similar_pair_out(tile, least):
     rng = np.random.default_rng(23)
