@@ -126,6 +126,18 @@ def test_tokens_of_odd_texts(text):
     assert table.count(text) == table.whole(text)
 
 
+def test_table_of_frequent_pretokens_changes_no_count(docs):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [x.text or "" for x in docs.values()]
+    empty = tokens.Pretokens(path, {})
+    wanted = [empty.whole(x) for x in texts]
+    assert [empty.count(x) for x in texts] == wanted
+    first = tokens.Pretokens(path, {})
+    first.count(texts[0])
+    filled = tokens.Pretokens(path, dict(first))
+    assert [filled.count(x) for x in texts] == wanted and len(filled) > len(first) + 1000
+
+
 def test_tokens_odd(odd, none):
     found = tokens.token_counts(odd).collect()
     assert len(found) == len(ROWS) and tokens.token_counts(none).count() == 0
