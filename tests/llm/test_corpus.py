@@ -591,6 +591,38 @@ def test_bounds_leave_no_similar_pair_out(tile, least):
     assert len(set(crossed)) == len(crossed) and set(crossed) >= {(j, i) for j, i in wanted if (i - j) % 2}
 
 
+@pytest.mark.parametrize("least", [0.8, 0.95, 0.6, 0.2])
+def test_windows_leave_no_similar_pair_out(least):
+    """Of long lines windows leave all similar pairs, and few of the others that have the same words."""
+    rng = np.random.default_rng(25)
+    found = worn_lines(rng, [60, 90, 140, 220], (0.02, 0.04, 0.1, 0.15, 0.2, 0.3) * 2) + ["é漢字 " * 150, "é漢字x" * 150, "the " * 200, "the " * 170, "z" * 500, "z" * 600]
+    found += [x[rng.integers(0, 60) :] for x in found[::3]] + [x + " " + x[: rng.integers(1, 90)] for x in found[::4]]
+    found = sorted({x.strip() for x in found}, key=len)
+    sizes = np.array([len(x) for x in found])
+    windows = alike.Windows(found, sizes, least)
+    i, j = (x.ravel() for x in np.indices((len(found),) * 2))
+    i, j = i[j < i], j[j < i]
+    fits = set(windows.possible(found, i, j).tolist())
+    near = {k for k, (a, b) in enumerate(zip(i.tolist(), j.tolist())) if lines.similar(found[a], found[b], least)}
+    assert near <= fits and len(near) > 10
+    if least >= 0.8:
+        alike_sizes = np.abs(sizes[i] - sizes[j]) <= alike.allowed(sizes[i], least)
+        others = set(np.flatnonzero(alike_sizes).tolist()) - near
+        assert len(fits & others) < 0.3 * len(others)
+
+
+def test_a_line_goes_to_two_cells_at_most(spark, monkeypatch):
+    """Of bands that have one part each: their lines meet their own band and the one below in one cell."""
+
+    def seen(least, similar):
+        return lambda table: pa.table({"a": table["h"].combine_chunks().cast(pa.binary()), "b": table["line"].combine_chunks().cast(pa.binary())})
+
+    monkeypatch.setattr(alike, "cell_links", seen)
+    rows = [(f"{n}".encode(), "x" * n, f"{n}".encode()) for n in range(1, 120)]
+    found = [bytes(x.a) for x in alike.all_links(spark.createDataFrame(rows, "h binary, line string, grp binary"), 0.8, lines.similar).collect()]
+    assert {found.count(h) for h, _, _ in rows} == {1, 2}
+
+
 @pytest.mark.parametrize("n", [1, 1 << 30, 1 << 40])
 def test_blocks_share_one(n):
     rng = np.random.default_rng(9)
