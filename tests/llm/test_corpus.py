@@ -611,6 +611,51 @@ def test_windows_leave_no_similar_pair_out(least):
         assert len(fits & others) < 0.3 * len(others)
 
 
+def syllable_lines(rng, count, low, high):
+    """Lines of words of a few syllables, so that all share most of their grams."""
+    syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "it", "st", "io", "le", "is", "ou", "ar", "as", "de", "rt", "ve", "ing", "tion", "ly", "wh", "bl", "sh"]
+    found = []
+    for _ in range(count):
+        size, line = rng.integers(low, high), ""
+        while len(line) < size:
+            line += "".join(rng.choice(syllables, rng.integers(1, 4))) + " "
+        found.append(line[:size].strip())
+    return found
+
+
+@pytest.mark.parametrize("low, high", [(400, 500), (850, 1000), (1400, 1600)])
+def test_pieces_leave_few_pairs_of_one_vocabulary(low, high):
+    """Of long lines that share their grams a tile leaves all similar pairs and next to no others, before any window is looked at."""
+    rng = np.random.default_rng(31)
+    found = syllable_lines(rng, 150, low, high)
+    found = sorted(set(found + [worn(rng, x, 0.15) for x in found[:15]] + [x[60:] for x in found[:15]]), key=len)
+    sizes = np.array(list(map(len, found)))
+    left = {(i, k) for _, i, j in alike.near_pairs(found, None, 0.8) for k in j.tolist()}
+    looked = sum(i - int(np.searchsorted(sizes, sizes[i] - int(alike.allowed(sizes[i], 0.8)))) for i in range(len(found)))
+    near = {(i, j) for i in range(len(found)) for j in range(i) if lines.similar(found[i], found[j])}
+    assert near <= left and len(near) >= 30 and len(left - near) < 0.03 * looked
+
+
+def test_places_of_very_long_lines():
+    """Lines too long for a place's bits are not left out."""
+    rng = np.random.default_rng(32)
+    (a,) = syllable_lines(rng, 1, 300_000, 300_001)
+    b = a[25_000:] + "x" * 20_000
+    found = sorted([a, b, *syllable_lines(rng, 2, 290_000, 300_000)], key=len)
+    assert {(found[i], found[k]) for _, i, j in alike.near_pairs(found, None, 0.8) for k in j.tolist()} >= {(a, b)}
+
+
+def test_first_search_leaves_counting_to_the_second(spark):
+    """It links what a script along words shows to be similar; edits where blanks moved are counted once, over all pairs."""
+    a = "the quick brown fox jumps over the lazy dog and runs far away from here today"
+    b, c = a.replace("quick", "quack"), a.replace("n f", "nf").replace("s o", "so").replace("y d", "yd").replace("d r", "dr").replace("s f", "sf").replace("y f", "yf").replace("x j", "xj")
+    assert lines.similar(a, b) and lines.similar(a, c) and not lines.by_script(*lines.apart(a, c), 7)
+    rows = [(1, k.encode(), 0, x) for k, x in (("a", a), ("b", b), ("c", c))]
+    found = lines.verify(spark.createDataFrame(rows, "cell long, h binary, fp long, line string"), 22, 0.8).collect()
+    assert [{bytes(x.a), bytes(x.b)} for x in found] == [{b"a", b"b"}]
+    assert len(removed(spark.createDataFrame([(k, x) for k, x in enumerate((a, b, c))], "doc_id long, text string"))) == 2
+
+
 def test_a_line_goes_to_two_cells_at_most(spark, monkeypatch):
     """Of bands that have one part each: their lines meet their own band and the one below in one cell."""
 
