@@ -636,6 +636,35 @@ def test_pieces_leave_few_pairs_of_one_vocabulary(low, high):
     assert near <= left and len(near) >= 30 and len(left - near) < 0.03 * looked
 
 
+@pytest.mark.parametrize("low, high, most", [(60, 70, 0.0003), (90, 100, 0.0002)])
+def test_rows_of_bits_leave_next_to_no_pairs(low, high, most):
+    """Of lines of one vocabulary the first bounds leave all similar pairs, and so few others that looking at those costs little."""
+    rng = np.random.default_rng(41)
+    found = syllable_lines(rng, 600, low, high)
+    found = sorted(set(found + [worn(rng, x, 0.12) for x in found[:20]]), key=len)
+    sizes = np.array(list(map(len, found)))
+    looked = sum(i - int(np.searchsorted(sizes, sizes[i] - int(alike.allowed(sizes[i], 0.8)))) for i in range(len(found)))
+    left = {(i, k) for _, i, j in alike.near_pairs(found, None, 0.8) for k in j.tolist()}
+    near = {(i, j) for i, j in left if lines.similar(found[i], found[j])}
+    assert len(near) >= 20 and len(left - near) < most * looked
+
+
+@pytest.mark.parametrize("least", [0.9, 0.8, 0.6])
+@pytest.mark.parametrize("low, high", [(300, 400), (800, 1000), (1700, 1950)])
+def test_bands_of_bits_leave_no_similar_pair_out(low, high, least):
+    """Lines whose letters moved by as much as the edits allow, at their start, their end or in the middle, are found."""
+    rng = np.random.default_rng(43)
+    found = syllable_lines(rng, 5, low, high)
+    for x in found[:]:
+        n = int((1 - least) * len(x) * 0.9)
+        at = int(rng.integers(0, len(x) - n))
+        found += [x[n:], x[:-n], x[:at] + x[at + n :], x[: at // 2] + "q" * (n // 2) + x[at // 2 :], worn(rng, x[n // 2 :], 0.08 * (1 - least)), worn(rng, x, 0.9 * (1 - least))]
+    found = sorted({x.strip() for x in found}, key=len)
+    near = {(i, j) for i in range(len(found)) for j in range(i) if lines.similar(found[i], found[j], least)}
+    assert near <= {(i, k) for _, i, j in alike.near_pairs(found, None, least) for k in j.tolist()} and len(near) >= 25
+    assert near <= set(alike.likely(found, None, least, True, lambda i, j: j))
+
+
 def test_places_of_very_long_lines():
     """Lines too long for a place's bits are not left out."""
     rng = np.random.default_rng(32)
